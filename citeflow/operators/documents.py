@@ -220,11 +220,19 @@ def record_error(kind: Column, v: Column) -> Column:
     )
 
 
-def parsed(kind: Column, raw_xml: Column, fields: Sequence[str]) -> Column:
-    """Parsed struct of an article or book record, NULL for every other kind."""
+PARSED = "_parsed"
+
+
+def with_parsed(records: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Adds the parsed struct of article and book records, NULL for every other kind.
+
+    The struct passes through a one-element generator: Spark pushes filters below a projection
+    but not below a generator, so a filter on parsed fields does not parse the record again.
+    """
     paths = [*_ALWAYS, *(path for field in fields for path in FIELDS[field].paths)]
-    struct = F.from_xml(mark(raw_xml), xml_schema(paths), _XML_OPTIONS)
-    return F.when(kind.isin(ARTICLE, BOOK), struct)
+    struct = F.from_xml(mark(F.col("raw_xml")), xml_schema(paths), _XML_OPTIONS)
+    loadable = F.when(F.col("kind").isin(ARTICLE, BOOK), struct)
+    return records.select("*", F.explode(F.array(loadable)).alias(PARSED))
 
 
 def field(v: Column, name: str) -> Column:
@@ -233,25 +241,19 @@ def field(v: Column, name: str) -> Column:
 
 def parse_records(records: DataFrame, fields: Sequence[str] = DOC_FIELDS) -> DataFrame:
     """Article and book records with ``pmid``, ``error`` and the asked fields added."""
-    loadable = records.where(F.col("kind").isin(ARTICLE, BOOK))
-    v = F.col("_parsed")
-    return loadable.withColumn("_parsed", parsed(F.col("kind"), F.col("raw_xml"), fields)).select(
+    v, kind = F.col(PARSED), F.col("kind")
+    return with_parsed(records.where(kind.isin(ARTICLE, BOOK)), fields).select(
         *records.columns,
         record_id(v).alias("pmid"),
-        record_error(F.col("kind"), v).alias("error"),
+        record_error(kind, v).alias("error"),
         *(field(v, name).alias(name) for name in fields),
     )
 
 
 def documents(records: DataFrame, fields: Sequence[str] = DOC_FIELDS) -> DataFrame:
-    """Documents of all loadable records: pmid, the asked fields, source_file.
-
-    Unloadable records are dropped by a generator, not by a filter: a filter on the parsed
-    struct would be pushed below it and make every record be parsed twice.
-    """
-    made = parse_records(records, fields)
-    doc = F.struct("pmid", *fields, F.col("file").alias("source_file"))
-    return made.select(F.inline(F.when(F.col("error").isNull(), F.array(doc))))
+    """Documents of all loadable records: pmid, the asked fields, source_file."""
+    loaded = parse_records(records, fields).where(F.col("error").isNull())
+    return loaded.select("pmid", *fields, F.col("file").alias("source_file"))
 
 
 def search_rows(records: DataFrame) -> DataFrame:

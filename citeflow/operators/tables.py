@@ -7,10 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeflow.operators.documents import field, parsed, record_error, record_id
-from citeflow.schema import (
-    ARTICLE, BOOK, CHANGE_ORDER, DELETE, DOC_FIELDS,
-)
+from citeflow.operators.documents import PARSED, field, record_error, record_id, with_parsed
+from citeflow.schema import ARTICLE, BOOK, CHANGE_ORDER, DELETE, DOC_FIELDS
 from citeflow.sources.records import block_ids
 
 UPSERT, TOMBSTONE, QUARANTINED, SKIPPED = "U", "D", "X", "S"
@@ -27,7 +25,7 @@ def changes(
     Articles and books become upserts, or quarantined rows if they cannot be loaded; delete
     blocks become one tombstone per id; unhandled kinds leave a row that says so.
     """
-    v, kind, raw = F.col("_parsed"), F.col("kind"), F.col("raw_xml")
+    v, kind, raw = F.col(PARSED), F.col("kind"), F.col("raw_xml")
     file, error = F.col("file"), F.col("error")
     loadable = kind.isin(ARTICLE, BOOK)
     ids = (
@@ -41,8 +39,8 @@ def changes(
         *(field(v, name).alias(name) for name in fields),
         file.alias("source_file"),
     )
-    judged = records.withColumn("_parsed", parsed(kind, raw, fields)).select(
-        "phase", "file", "block", "ord", "kind", "raw_xml", "_parsed",
+    judged = with_parsed(records, fields).select(
+        "phase", "file", "block", "ord", "kind", "raw_xml", PARSED,
         F.when(loadable, record_error(kind, v)).alias("error"),
         F.explode(ids).alias("pmid"),
     )
