@@ -23,18 +23,18 @@ def _rate(count: Column, seconds: Column) -> Column:
     return F.when(seconds != 0, count / seconds)
 
 
-def file_rates(stats: DataFrame) -> DataFrame:
-    """Adds records per second to rows of (phase, file, article_cnt, duration)."""
-    return stats.withColumn("rate", _rate(F.col("article_cnt"), F.col("duration")))
+def file_rates(stats: DataFrame, workers: int) -> DataFrame:
+    """Records per second of each file; for baseline files also the rate x workers estimate."""
+    rate = _rate(F.col("article_cnt"), F.col("duration"))
+    rated = stats.withColumn("rate", rate)
+    return rated.withColumn("estimated_rate", F.when(F.col("phase") == 0, F.col("rate") * workers))
 
 
-def total_rate(stats: DataFrame, workers: int) -> DataFrame:
-    """Total count, rate over the elapsed time, and the estimate rate-per-worker x workers."""
-    count, busy = F.sum("article_cnt"), F.sum("duration")
+def total_rate(stats: DataFrame) -> DataFrame:
+    """Records of all files over the time the last one was done at."""
+    count = F.sum("article_cnt")
     return stats.agg(
-        count.alias("article_cnt"),
-        _rate(count, F.max("elapsed")).alias("total_rate"),
-        (_rate(count, busy) * workers).alias("estimated_rate"),
+        count.alias("article_cnt"), _rate(count, F.max("elapsed")).alias("total_rate")
     )
 
 
