@@ -2,9 +2,10 @@
 
 Spark's XML reader hands over the direct text nodes of an element as an array, but drops nodes
 made of blanks only and does not say whether the first node stands before or after the first
-child. A marker character put into the raw text before parsing settles both: it opens every
-element whose *leading* text matters and precedes every blank-only node. It is a Unicode
-noncharacter, so no record carries it as text, and it is removed from all results.
+child. A marker character put into the raw text before parsing settles both: it follows every
+tag that blanks or another opening tag come after. A blank-only node so has a character to keep
+it, and an element that opens with a child has a first node that is the bare marker. The marker
+is a Unicode noncharacter, so no record carries it as text, and it is removed from all results.
 """
 
 from __future__ import annotations
@@ -14,12 +15,11 @@ from pyspark.sql import functions as F
 
 MARK = "\ufdd0"
 
-_MARKED_TAGS = "ArticleTitle|BookTitle|AbstractText|PublicationType|NameOfSubstance|DescriptorName"
-_MARK_AT = rf"(<(?:{_MARKED_TAGS})(?:\s[^>]*)?>|>(?=\s+<))"
+_MARK_AT = r">(?=[ \t\r\n]|<[^/])"
 
 
 def mark(raw: Column) -> Column:
-    return F.regexp_replace(raw, _MARK_AT, "$1" + MARK)
+    return F.regexp_replace(raw, _MARK_AT, ">" + MARK)
 
 
 def unmark(text: Column) -> Column:
@@ -37,12 +37,12 @@ def plain(text: Column) -> Column:
 
 
 def first_text(nodes: Column) -> Column:
-    """First text node, wherever it stands. Only the leading node can be a bare marker."""
-    return F.coalesce(plain(F.get(nodes, F.lit(0))), plain(F.get(nodes, F.lit(1))))
+    """First text node, wherever it stands."""
+    return plain(F.get(F.array_remove(nodes, MARK), F.lit(0)))
 
 
 def leading_text(nodes: Column) -> Column:
-    """Text before the first child, NULL if there is none. Marked elements only."""
+    """Text before the first child, NULL if there is none."""
     return plain(F.get(nodes, F.lit(0)))
 
 

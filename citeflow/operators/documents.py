@@ -136,28 +136,46 @@ def _doi(v: Column) -> Column:
     return F.when(_at(v, "BookDocument").isNull(), F.coalesce(own, first_cited)).otherwise("")
 
 
-def _term(node: Column) -> Column:
-    ui = F.coalesce(node["_UI"], F.lit("None"))
-    return F.struct(
-        F.concat(F.lit("MESH:"), ui).alias("id"), leading_text(node["_VALUE"]).alias("name")
-    )
+def _names(v: Column, path: str) -> Column:
+    return F.filter(_at(v, path), lambda n: n.isNotNull())
+
+
+def _ui(node: Column) -> Column:
+    return F.coalesce(node["_UI"], F.lit("None"))
+
+
+def _terms(nodes: Column) -> Column:
+    """Id and name of each node that names a compound or a heading."""
+
+    def term(node: Column) -> Column:
+        name = leading_text(node["_VALUE"])
+        return F.struct(F.concat(F.lit("MESH:"), _ui(node)).alias("id"), name.alias("name"))
+
+    return F.coalesce(F.transform(nodes, term), _empty(TERM))
+
+
+_CHEMICALS = "MedlineCitation.ChemicalList.Chemical.NameOfSubstance"
+_HEADINGS = "MedlineCitation.MeshHeadingList.MeshHeading.DescriptorName"
 
 
 def _compounds(v: Column) -> Column:
-    names = _at(v, "MedlineCitation.ChemicalList.Chemical.NameOfSubstance")
-    present_names = F.filter(names, lambda n: n.isNotNull())
-    return F.coalesce(F.transform(present_names, _term), _empty(TERM))
+    return _terms(_names(v, _CHEMICALS))
 
 
-def _headings(v: Column) -> Column:
-    names = _at(v, "MedlineCitation.MeshHeadingList.MeshHeading.DescriptorName")
-    present_names = F.filter(names, lambda n: n.isNotNull())
-    return F.coalesce(F.transform(present_names, _term), _empty(TERM))
+def _mesh_all(v: Column) -> Column:
+    return _terms(_names(v, _HEADINGS))
 
 
 def _mesh(v: Column) -> Column:
-    compound_ids = _compounds(v)["id"]
-    return F.filter(_headings(v), lambda term: ~F.array_contains(compound_ids, term["id"]))
+    """Headings that are not among the compounds."""
+    headings = _names(v, _HEADINGS)
+    # As a lambda argument the list of compounds is built once, not once per heading.
+    compounds = F.array(F.transform(_names(v, _CHEMICALS), _ui))
+    others = F.get(F.transform(
+        compounds, lambda uis: F.filter(headings, lambda h: ~F.array_contains(uis, _ui(h)))
+    ), F.lit(0))
+    has_compounds = _at(v, _CHEMICALS).isNotNull()
+    return _terms(F.when(has_compounds, others).otherwise(headings))
 
 
 def _created_date(v: Column) -> Column:
@@ -183,7 +201,7 @@ FIELDS = {
     "compounds": _Field(("MedlineCitation.ChemicalList",), _compounds),
     "mesh": _Field((_MESH_PATH, "MedlineCitation.ChemicalList"), _mesh),
     # Other projections of the same records.
-    "mesh_all": _Field((_MESH_PATH,), _headings),
+    "mesh_all": _Field((_MESH_PATH,), _mesh_all),
     "lead_title": _Field((f"{_ART}.ArticleTitle",), _article_title_lead),
     "abstract_html": _Field((f"{_ART}.Abstract",), _abstract_html),
     "created_date": _Field(("MedlineCitation.DateCreated",), _created_date),

@@ -72,10 +72,14 @@ def split_records(chunks: DataFrame, name: NameRule, kind: str = ARTICLE) -> Dat
     ``ord`` orders the records of one (file, block) and means nothing across them; ``block`` is
     the offset of the file split.
     """
-    whole = F.concat("value", F.lit(end_tag(kind)))
+    text = F.ltrim("value", F.lit(" \t\r\n"))
+    whole = F.concat(text, F.lit(end_tag(kind)))
+    # Most chunks are one record and nothing else; only the others need the search.
+    single = text.startswith(f"<{kind}>") & ~text.contains(f"</{kind}")
+    elements = F.regexp_extract_all(whole, F.lit(_ELEMENT), F.lit(0))
     records = chunks.select(
         "path", "block",
-        F.explode(F.regexp_extract_all(whole, F.lit(_ELEMENT), F.lit(0))).alias("raw_xml"),
+        F.explode(F.when(single, F.array(whole)).otherwise(elements)).alias("raw_xml"),
     )
     file = name(F.col("path"))
     return records.select(
@@ -83,7 +87,7 @@ def split_records(chunks: DataFrame, name: NameRule, kind: str = ARTICLE) -> Dat
         phase_of(file).alias("phase"),
         "block",
         F.monotonically_increasing_id().alias("ord"),
-        F.regexp_extract("raw_xml", _TAG, 1).alias("kind"),
+        F.regexp_extract(F.substring_index("raw_xml", ">", 1), _TAG, 1).alias("kind"),
         "raw_xml",
     )
 

@@ -29,6 +29,8 @@ def test_titles(spark, tmp_path):
         "7": ("<ArticleTitle>a &amp; b &lt;c&gt; é</ArticleTitle>", "a & b <c> é"),
         "8": ("<ArticleTitle>x<![CDATA[<y> ]]>z</ArticleTitle>", "x<y> z"),
         "9": ("<ArticleTitle><i>a</i> <b>b</b></ArticleTitle>", " "),
+        "10": ("<ArticleTitle><i>a</i><b>b</b>tail</ArticleTitle>", "tail"),
+        "11": ("<ArticleTitle><!-- c --><b><i>x</i></b>tail &gt; <i>x</i></ArticleTitle>", "tail > "),
     }
     docs = docs_of(spark, tmp_path, *(article(p, title=t) for p, (t, _) in cases.items()))
     assert {p: d.title for p, d in docs.items()} == {p: want for p, (_, want) in cases.items()}
