@@ -10,7 +10,7 @@ from citeflow.sources.records import NameRule, phase_of
 
 
 def list_files(spark: SparkSession, data_dir: str, name: NameRule) -> DataFrame:
-    """Gzip files below a folder: path, file, phase. Lists names, reads no content."""
+    """Gzip files below a folder: path, length, file, phase. Reads no content."""
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -18,7 +18,7 @@ def list_files(spark: SparkSession, data_dir: str, name: NameRule) -> DataFrame:
         .load(data_dir)
     )
     file = name(F.col("path"))
-    return listed.select("path", file.alias("file"), phase_of(file).alias("phase"))
+    return listed.select("path", "length", file.alias("file"), phase_of(file).alias("phase"))
 
 
 def pending_files(files: DataFrame, ledger: DataFrame) -> DataFrame:

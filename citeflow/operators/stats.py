@@ -47,7 +47,7 @@ def progress_blocks(stats: DataFrame, every: int = 1000) -> DataFrame:
     """
     window = Window.partitionBy("phase").orderBy("file")
     through = F.sum("article_cnt").over(window)
-    marked = stats.where(F.col("article_cnt") > 0).select(
+    marked = stats.select(
         "phase", "file", "article_cnt", "duration",
         (through - F.col("article_cnt")).alias("before"),
         (F.sum("duration").over(window) - F.col("duration")).alias("time_before"),

@@ -16,6 +16,10 @@ UPSERT, TOMBSTONE, QUARANTINED, SKIPPED = "U", "D", "X", "S"
 # Up to this many ids a lookup is a literal list that the scan can use; beyond it, a join.
 LITERAL_IDS = 1000
 
+# A log of at most this many changes is sent to a snapshot whole (ids and order keys only, some
+# hundred bytes a row); a longer one is merged by a shuffle of both.
+BROADCAST_ROWS = 500_000
+
 
 def changes(
     records: DataFrame, fields: Sequence[str] = DOC_FIELDS, store_raw: bool = False
@@ -93,6 +97,28 @@ def apply_deletes(rows: DataFrame) -> DataFrame:
     return upserts(latest_changes(rows))
 
 
+def _order(rows: DataFrame) -> Column:
+    return F.struct(*(rows[c] for c in CHANGE_ORDER))
+
+
+def merge_latest(snapshot: DataFrame, log: DataFrame) -> DataFrame:
+    """Latest change per id of a snapshot and a log that is small beside it.
+
+    ``snapshot`` holds one row per id. It is read in place, not shuffled: the ids of the log are
+    sent to it. Call it only with a log whose size has been checked (``BROADCAST_ROWS``).
+    """
+    delta = latest_changes(log)
+    newest = delta.select("pmid", *CHANGE_ORDER)
+    sent = F.broadcast(newest)
+    replaced = (snapshot["pmid"] == sent["pmid"]) & (_order(sent) >= _order(snapshot))
+    kept = snapshot.join(sent, replaced, "left_anti")
+
+    known = snapshot.select("pmid", *CHANGE_ORDER)
+    known = known.join(F.broadcast(newest.select("pmid")), "pmid", "left_semi")
+    stale = (delta["pmid"] == known["pmid"]) & (_order(known) > _order(delta))
+    return kept.unionByName(delta.join(known, stale, "left_anti"))
+
+
 def remove_ids(table: DataFrame, ids: DataFrame, key: str = "pmid") -> DataFrame:
     """One-off delete of listed ids from a keyed table."""
     return table.join(ids.select(key).distinct(), key, "left_anti")

@@ -24,12 +24,15 @@ from pyspark.sql import functions as F
 
 from citeflow.operators.ledger import ledger_current, ledger_rows, list_files, pending_files
 from citeflow.operators.tables import (
-    LITERAL_IDS, QUARANTINED, SKIPPED, UPSERT, apply_deletes, changes, latest_changes,
-    lookup, quarantined, upserts,
+    BROADCAST_ROWS, LITERAL_IDS, QUARANTINED, SKIPPED, UPSERT, changes, latest_changes, lookup,
+    merge_latest, quarantined, upserts,
 )
 from citeflow.schema import CHANGE, LEDGER
 from citeflow.sources.records import NameRule, read_records, relative_to
 
+# Gzip bytes to a partition when records are spread: some hundred megabytes of XML.
+SPREAD_BYTES = 16 << 20
+
 _LOADED_AT = "loaded_at"
 _LEDGER_ROW = f"{LEDGER}, {_LOADED_AT} TIMESTAMP"
 _POINTER = "snapshot BIGINT, batches ARRAY<STRING>"
@@ -39,6 +42,17 @@ def _new_batch(what: str) -> str:
     return f"{what}-{time.strftime('%Y%m%dT%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:8]}"
 
 
+def _spread(lengths: Sequence[int], cores: int) -> int | None:
+    """Partitions to shuffle records over before parsing; None if the files divide evenly.
+
+    Only worth its shuffle where one file would keep a core busy for more than twice its share.
+    """
+    total = sum(lengths)
+    if total <= SPREAD_BYTES or max(lengths) * cores <= 2 * total:
+        return None
+    return max(cores, -(-total // SPREAD_BYTES))
+
+
 class CitationStore:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
@@ -106,28 +120,28 @@ class CitationStore:
     def _bucket(self, pmid: Column) -> Column:
         return F.pmod(F.xxhash64(pmid), F.lit(self.buckets)).cast("int")
 
-    def _rows(self, ids: Sequence[str] | None = None) -> tuple[DataFrame, bool]:
-        """Rows the current view is made of, and whether several per id may be among them."""
+    def _latest(self, ids: Sequence[str] | None = None) -> DataFrame:
+        """Latest change per id, tombstones included."""
         number, included = self._pointer()
         newer = self._committed() - included
-        tables = []
-        if number:
-            snapshot = self._snapshot(number)
-            if ids is not None:
-                snapshot = snapshot.where(
-                    F.col("bucket").isin([self._bucket(F.lit(i)) for i in ids])
-                )
-            tables.append(snapshot.drop("bucket"))
-        if newer or not tables:
-            tables.append(self._log(newer).drop("batch"))
-        rows = tables[0] if len(tables) == 1 else tables[0].unionByName(tables[1])
+        log = self._log(newer).drop("batch")
+        if ids is not None:
+            log = lookup(log, ids)
+        if not number:
+            return latest_changes(log)
+        snapshot = self._snapshot(number)
         if ids is not None:
-            rows = lookup(rows, ids)
-        return rows, bool(newer)
+            buckets = [self._bucket(F.lit(i)) for i in ids]
+            snapshot = lookup(snapshot.where(F.col("bucket").isin(buckets)), ids)
+        snapshot = snapshot.drop("bucket")
+        if not newer:
+            return snapshot
+        if self._log(newer).count() <= BROADCAST_ROWS:
+            return merge_latest(snapshot, log)
+        return latest_changes(snapshot.unionByName(log))
 
     def _current(self, ids: Sequence[str] | None = None) -> DataFrame:
-        rows, several = self._rows(ids)
-        return apply_deletes(rows) if several else upserts(rows)
+        return upserts(self._latest(ids))
 
     def documents(self) -> DataFrame:
         """Current documents, one per id."""
@@ -206,20 +220,20 @@ class CitationStore:
         if not todo:
             return 0
         files = self.spark.createDataFrame([(r.file,) for r in todo], "file STRING")
-        records = read_records(self.spark, [r.path for r in todo], name)
+        spread = _spread([r.length for r in todo], self.spark.sparkContext.defaultParallelism)
+        records = read_records(self.spark, [r.path for r in todo], name, spread=spread)
         self.write_batch(_new_batch("load"), records, files.distinct(), store_raw)
         return len(todo)
 
     def compact(self) -> None:
         """Fold all finished batches into a new snapshot; the pointer row makes it current."""
-        number, _ = self._pointer()
+        number, included = self._pointer()
         committed = self._committed()
-        rows, several = self._rows()
-        if not several:
+        if committed <= included:
             return
-        bucketed = latest_changes(rows).withColumn("bucket", self._bucket(F.col("pmid")))
-        bucketed.repartition(self.buckets, "bucket").sortWithinPartitions("bucket", "pmid").write.mode(
-            "overwrite"
-        ).partitionBy("bucket").parquet(self._path("snapshots", f"snapshot={number + 1}"))
+        bucketed = self._latest().withColumn("bucket", self._bucket(F.col("pmid")))
+        ordered = bucketed.repartition(self.buckets, "bucket").sortWithinPartitions("bucket", "pmid")
+        path = self._path("snapshots", f"snapshot={number + 1}")
+        ordered.write.mode("overwrite").partitionBy("bucket").parquet(path)
         pointer = self.spark.createDataFrame([(number + 1, sorted(committed))], _POINTER)
         pointer.coalesce(1).write.mode("append").parquet(self._path("pointers"))

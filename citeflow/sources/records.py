@@ -93,10 +93,16 @@ def split_records(chunks: DataFrame, name: NameRule, kind: str = ARTICLE) -> Dat
 
 
 def read_records(
-    spark: SparkSession, paths: str | list[str], name: NameRule, kind: str = ARTICLE
+    spark: SparkSession, paths: str | list[str], name: NameRule, kind: str = ARTICLE,
+    spread: int | None = None,
 ) -> DataFrame:
-    """Scan record files. ``kind`` is the commonest record: give ``BOOK`` for book files."""
-    return split_records(read_chunks(spark, paths, kind), name, kind)
+    """Scan record files. ``kind`` is the commonest record: give ``BOOK`` for book files.
+
+    One task reads a gzip file, however large. ``spread`` shuffles the cut records over that
+    many partitions, so that few or uneven files do not leave the parsing to a few tasks.
+    """
+    records = split_records(read_chunks(spark, paths, kind), name, kind)
+    return records.repartition(spread, "file", "block", "ord") if spread else records
 
 
 def versioned_id(raw_xml: Column) -> Column:

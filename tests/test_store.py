@@ -3,7 +3,7 @@ import shutil
 
 import pytest
 
-from citeflow.plans.store import CitationStore
+from citeflow.plans.store import CitationStore, _spread
 from citeflow.streaming.load import stream_load
 from tests.samples import article, book, deletes, titled, write_file
 
@@ -97,6 +97,27 @@ def test_raw_is_stored_on_request(spark, tmp_path, data):
     assert "one new" in store.lookup_raw(["1"]).first().raw_xml
 
 
+def test_long_log_is_merged_by_shuffle(spark, tmp_path, data, monkeypatch):
+    store = new_store(spark, tmp_path)
+    store.load(data, phase=0)
+    store.compact()
+    store.load(data)
+    assert versions(store) == FINAL
+    monkeypatch.setattr("citeflow.plans.store.BROADCAST_ROWS", 0)
+    assert versions(store) == FINAL
+    store.compact()
+    assert versions(store) == FINAL
+
+
+def test_uneven_files_are_spread(spark, tmp_path, data, monkeypatch):
+    assert _spread([1 << 30], 8) == 64 and _spread([1 << 25] * 64, 8) is None
+    assert _spread([1 << 20], 8) is None
+    monkeypatch.setattr("citeflow.plans.store._spread", lambda *_: 5)
+    store = new_store(spark, tmp_path)
+    store.load(data)
+    assert versions(store) == FINAL
+
+
 def test_lookup_prunes_buckets(spark, tmp_path, data):
     store = new_store(spark, tmp_path)
     store.load(data)
