@@ -10,6 +10,8 @@ is a Unicode noncharacter, so no record carries it as text, and it is removed fr
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,9 +38,21 @@ def plain(text: Column) -> Column:
     return present(unmark(text))
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used.
+
+    Repeating a long expression also makes generated methods too long for the JVM to compile.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def has_text(nodes: Column) -> Column:
+    return F.coalesce(F.size(F.array_remove(nodes, MARK)) > 0, F.lit(False))
+
+
 def first_text(nodes: Column) -> Column:
     """First text node, wherever it stands."""
-    return plain(F.get(F.array_remove(nodes, MARK), F.lit(0)))
+    return unmark(F.get(F.filter(nodes, lambda n: n != MARK), F.lit(0)))
 
 
 def leading_text(nodes: Column) -> Column:

@@ -12,9 +12,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.functions.dates import DateParts, created_date, date_parts, pub_date
+from citeflow.functions.dates import DateParts, created_date, date_parts, pub_date, unparsable
 from citeflow.functions.text import (
-    first_text, html_text, labelled_text, leading_text, mark, present, unmark,
+    bind, first_text, has_text, html_text, labelled_text, leading_text, mark, plain,
 )
 from citeflow.schema import ARTICLE, BOOK, CORRUPT, DOC_FIELDS, TERM, xml_schema
 
@@ -93,8 +93,20 @@ def record_date_parts(v: Column) -> DateParts:
     )
 
 
+def _date_struct(v: Column) -> Column:
+    return F.struct(*(c.alias(n) for n, c in record_date_parts(v)._asdict().items()))
+
+
 def _pub_date(v: Column) -> Column:
-    return pub_date(record_date_parts(v))
+    return bind(_date_struct(v), lambda d: pub_date(DateParts(d["year"], d["month"], d["day"])))
+
+
+def _date_check(v: Column) -> Column:
+    """The parts of the date and whether they fail to make one."""
+    return bind(_date_struct(v), lambda d: F.struct(
+        d["year"].alias("year"), d["month"].alias("month"), d["day"].alias("day"),
+        unparsable(DateParts(d["year"], d["month"], d["day"])).alias("bad"),
+    ))
 
 
 def _journal(child: str) -> Callable[[Column], Column]:
@@ -169,11 +181,10 @@ def _mesh_all(v: Column) -> Column:
 def _mesh(v: Column) -> Column:
     """Headings that are not among the compounds."""
     headings = _names(v, _HEADINGS)
-    # As a lambda argument the list of compounds is built once, not once per heading.
-    compounds = F.array(F.transform(_names(v, _CHEMICALS), _ui))
-    others = F.get(F.transform(
-        compounds, lambda uis: F.filter(headings, lambda h: ~F.array_contains(uis, _ui(h)))
-    ), F.lit(0))
+    others = bind(
+        F.transform(_names(v, _CHEMICALS), _ui),
+        lambda uis: F.filter(headings, lambda h: ~F.array_contains(uis, _ui(h))),
+    )
     has_compounds = _at(v, _CHEMICALS).isNotNull()
     return _terms(F.when(has_compounds, others).otherwise(headings))
 
@@ -205,12 +216,10 @@ FIELDS = {
     "lead_title": _Field((f"{_ART}.ArticleTitle",), _article_title_lead),
     "abstract_html": _Field((f"{_ART}.Abstract",), _abstract_html),
     "created_date": _Field(("MedlineCitation.DateCreated",), _created_date),
-    "date_parts": _Field(_DATE_PATHS, lambda v: F.struct(
-        *(c.alias(n) for n, c in record_date_parts(v)._asdict().items())
-    )),
+    "date_check": _Field(_DATE_PATHS, _date_check),
     "medline_text": _Field(
         (f"{_ART}.Journal.JournalIssue",),
-        lambda v: present(unmark(_at(v, f"{_ART}.Journal.JournalIssue.PubDate.MedlineDate"))),
+        lambda v: plain(_at(v, f"{_ART}.Journal.JournalIssue.PubDate.MedlineDate")),
     ),
     "abstract_parts": _Field(
         (f"{_ART}.Abstract",), lambda v: _at(v, f"{_ART}.Abstract.AbstractText")
@@ -222,14 +231,13 @@ _XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "columnNameOfCorruptRecord":
 
 def record_id(v: Column) -> Column:
     return F.coalesce(
-        first_text(_at(v, "MedlineCitation.PMID._VALUE")),
-        first_text(_at(v, "BookDocument.PMID._VALUE")),
+        plain(_at(v, "MedlineCitation.PMID._VALUE")), plain(_at(v, "BookDocument.PMID._VALUE"))
     )
 
 
 def record_error(kind: Column, v: Column) -> Column:
     """Why a record cannot be loaded; NULL if it can."""
-    has_book_title = first_text(_at(v, f"{_BOOK}.BookTitle._VALUE")).isNotNull()
+    has_book_title = has_text(_at(v, f"{_BOOK}.BookTitle._VALUE"))
     return (
         F.when(v[CORRUPT].isNotNull(), MALFORMED)
         .when(record_id(v).isNull(), NO_ID)

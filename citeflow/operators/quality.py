@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.functions.dates import DateParts, unparsable
 from citeflow.operators.documents import NO_ID, documents, parse_records
 from citeflow.sources.records import raw_split
 
@@ -33,9 +32,8 @@ def missing_titles(records: DataFrame) -> DataFrame:
 
 def bad_dates(records: DataFrame) -> DataFrame:
     """Documents whose named month does not make a date, with the parts as read."""
-    docs = documents(records, ("date_parts",)).select("pmid", "source_file", "date_parts.*")
-    parts = DateParts(F.col("year"), F.col("month"), F.col("day"))
-    return docs.where(unparsable(parts))
+    docs = documents(records, ("date_check",)).where("date_check.bad")
+    return docs.select("pmid", "source_file", *(f"date_check.{p}" for p in ("year", "month", "day")))
 
 
 def id_mismatch(requests: DataFrame, served: DataFrame) -> DataFrame:

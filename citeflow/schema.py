@@ -36,6 +36,7 @@ CHANGE_ORDER = ("phase", "file", "block", "ord")
 
 # Mixed content comes back as the list of its direct text nodes.
 _TEXT = "STRUCT<_VALUE: ARRAY<STRING>>"
+_ID = "STRUCT<_VALUE: STRING>"
 _YMD = {"Year": "STRING", "Month": "STRING", "Day": "STRING"}
 _AUTHORS = (
     f"ARRAY<STRUCT<Author: ARRAY<STRUCT<LastName: {_TEXT}, ForeName: {_TEXT}, Initials: {_TEXT}>>>>"
@@ -48,7 +49,7 @@ _REFERENCES = f"ARRAY<STRUCT<{_REFERENCE}, ReferenceList: ARRAY<STRUCT<{_REFEREN
 
 XML_SHAPE = {
     "MedlineCitation": {
-        "PMID": _TEXT,
+        "PMID": _ID,
         "DateCreated": dict(_YMD),
         "Article": {
             "_PubModel": "STRING",
@@ -68,7 +69,7 @@ XML_SHAPE = {
     },
     "PubmedData": {"ArticleIdList": _IDS, "ReferenceList": _REFERENCES},
     "BookDocument": {
-        "PMID": _TEXT,
+        "PMID": _ID,
         "Book": {"BookTitle": _TEXT, "PubDate": dict(_YMD), "AuthorList": _AUTHORS},
         "AuthorList": _AUTHORS,
         "Abstract": _ABSTRACT,

@@ -133,6 +133,12 @@ DATES = [
     ("2019", "03", None, None, "2019-03-01", False),
     ("2019", "Feb", "30", None, "1900-01-01", True),
     ("2019", "February", "01", None, "1900-01-01", True),
+    ("2019", "an ", "01", None, "1900-01-01", True),
+    ("2019", "ebm", "01", None, "1900-01-01", True),
+    ("2019", "dEc", "9", None, "2019-12-09", False),
+    ("2020", "Feb", "29", None, "2020-02-29", False),
+    ("2019", "Feb", "29", None, "1900-01-01", True),
+    ("219", "Feb", "01", None, "1900-01-01", True),
     ("2019", "Sept", "01", None, "1900-01-01", True),
     ("2019", "Feb", "001", None, "1900-01-01", True),
     ("0000", "Feb", "01", None, "1900-01-01", True),
