@@ -36,13 +36,16 @@ def consume(rows: DataFrame) -> None:
     rows.write.format("noop").mode("overwrite").save()
 
 
-def load(spark: SparkSession, data_dir: str, store_raw: bool) -> None:
-    """Scan, parse, write changes and ledger, then read the current view."""
-    store = CitationStore.create(spark, new_dir(spark, "bench"))
+def load(store: CitationStore, data_dir: str, store_raw: bool) -> None:
+    """List files, scan, parse, write changes and ledger, then read the current view."""
     store.load(data_dir, store_raw=store_raw, name=folder_name)
     consume(store.documents())
 
 
+def new_store(spark: SparkSession) -> CitationStore:
+    return CitationStore.create(spark, new_dir(spark, "bench"))
+
+
 def timed(run, *args) -> float:
     start = time.perf_counter()
     run(*args)
@@ -73,8 +76,8 @@ def main() -> None:
             "scan": (consume, kind_counts(records)),
             "scan_document": (consume, documents(records)),
             "scan_document_upsert": (consume, tab.apply_deletes(tab.changes(records))),
-            "load_raw_off": (load, spark, data_dir, False),
-            "load_raw_on": (load, spark, data_dir, True),
+            "load_raw_off": (load, new_store(spark), data_dir, False),
+            "load_raw_on": (load, new_store(spark), data_dir, True),
         }
         for step, (run, *args) in steps.items():
             name = f"{step}_{render.__name__}"
