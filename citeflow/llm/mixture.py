@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from citeflow.plans.workspace import new_dir
+from citeflow.llm.graph import stored
 
 ADDED = ("size", "source_size", "target", "copies", "taken")
 HASH_BITS = 60
@@ -45,18 +45,12 @@ def seeded_hash(seed: int, doc_id: Column, text: Column) -> Column:
     return F.conv(F.substring(F.md5(joined.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
-def _stored(rows: DataFrame, spark: SparkSession, purpose: str) -> DataFrame:
-    path = new_dir(spark, purpose)
-    rows.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def _ranked(sources: DataFrame, spark: SparkSession) -> DataFrame:
     """``rank`` from 0 in code-point order, null last: ranges are sorted apart and counted."""
     ordered = sources.repartitionByRange(F.col("source").asc_nulls_last()).sortWithinPartitions(
         F.col("source").asc_nulls_last()
     )
-    placed = _stored(ordered.withColumn("place", F.monotonically_increasing_id()), spark, "sources")
+    placed = stored(ordered.withColumn("place", F.monotonically_increasing_id()), spark, "sources")
     part = F.shiftright("place", 33)
     counts = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
     before = counts.select(  # one row per partition of the table of sources
@@ -93,7 +87,7 @@ def targets(
         F.sum("size").alias("source_size")
     )
     nth = " ".join(f"WHEN {i} THEN {w}L" for i, w in enumerate(weights))
-    weighed = _stored(
+    weighed = stored(
         _ranked(summed, spark).withColumn("weight", F.expr(f"CASE rank % {len(weights)} {nth} END")),
         spark, "weights",
     )
@@ -121,7 +115,7 @@ def _cuts(keyed: DataFrame, wanted: DataFrame, spark: SparkSession) -> DataFrame
             return edge.select(
                 "source", F.when(nearer, F.col("bucket")).otherwise(F.col("bucket") - 1).alias("cut")
             )
-        rest = _stored(
+        rest = stored(
             edge.select("source", "bucket", F.expr("need - (upto - n)").alias("need")), spark, "edge"
         )
         at = rest.select(F.col("source").alias("at_source"), F.col("bucket").alias("at_bucket"))
@@ -143,7 +137,7 @@ def mix(
     spark = docs.sparkSession
     body, key = F.col(f"`{text}`"), F.col(f"`{doc_id}`")
     size, h = text_size(body), seeded_hash(seed, key, body)
-    keyed = _stored(
+    keyed = stored(
         docs.select(F.col(f"`{source}`").alias("source"), size.alias("size"), h.alias("h")),
         spark, "mix",
     )
@@ -152,7 +146,7 @@ def mix(
         .otherwise(0),
     ).withColumn("need", F.col("target") - F.col("whole") * F.col("source_size"))
     cuts = _cuts(keyed, per_source.select("source", "need"), spark)
-    plan = _stored(
+    plan = stored(
         per_source.join(cuts, per_source["source"].eqNullSafe(cuts["source"]), "left").select(
             per_source["source"].alias("_source"), "source_size", "target", "whole",
             F.coalesce("cut", F.lit(-1)).alias("cut"),

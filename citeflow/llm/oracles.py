@@ -86,4 +86,38 @@ FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
 LEFT JOIN cut ON d.source IS NOT DISTINCT FROM cut.source
 """
 
-ORACLES = {"op4_quality_rules": OP4, "op7_mix_sources": OP7}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP3 = rf"""
+WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+b AS (SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item, {_ALNUM} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, least(len(w), 10) AS m, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS s
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)
+),
+place AS (
+  SELECT doc_id, i, m, array_to_string(w[i:i + m - 1], ' ') AS s
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+        FROM d, (SELECT DISTINCT m FROM win))
+),
+occ AS (SELECT doc_id, i, place.m, item FROM place JOIN win ON place.m = win.m AND place.s = win.s),
+hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM occ) GROUP BY doc_id
+),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, item FROM occ) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(list, '')) AS items_sha256,
+  n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES = {
+    "op3_decontaminate": OP3,
+    "op4_quality_rules": OP4,
+    "op7_mix_sources": OP7,
+}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeflow.llm import mixture, quality_rules
+from citeflow.llm import decontaminate, mixture, quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -21,6 +21,12 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")
+    return decontaminate.report(docs, benchmark)
+
+
 @query
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
@@ -34,3 +40,9 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixture.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs)
