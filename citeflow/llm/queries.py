@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citeflow.llm import decontaminate, mixture, quality_rules, simhash
+from citeflow.llm import decontaminate, mixture, quality_rules, simhash, token_files
+from citeflow.plans.workspace import new_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -46,3 +50,10 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs)
+
+
+@query
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    shards = token_files.write(docs, new_dir(spark, "tokens"), TOKENIZER)
+    return token_files.read_checksums(shards)
