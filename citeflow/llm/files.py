@@ -30,7 +30,7 @@ def attempt_name(what: str) -> str:
 
 def open_write(path: str) -> pa.NativeFile:
     system, name = file_system(path)
-    return system.open_output_stream(name)
+    return system.open_output_stream(name, compression=None)
 
 
 def open_read(path: str) -> pa.NativeFile:

@@ -116,8 +116,28 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_B32 = " || ".join(
+    f"'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(v >> {shift} & 31) + 1]" for shift in (15, 10, 5, 0)
+)
+OP5 = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex,
+    max(page_id) OVER (PARTITION BY coalesce(html, '')) AS largest
+  FROM pages
+)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+  array_to_string(list_transform(
+    list_transform(range(8), lambda g: ('0x' || substr(hex, g * 5 + 1, 5))::BIGINT), lambda v: {_B32}
+  ), '') AS payload_digest,
+  CASE WHEN page_id IS DISTINCT FROM largest AND largest IS NOT NULL THEN 'revisit' ELSE 'response'
+  END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM largest THEN largest END AS refers_to
+FROM p
+"""
+
 ORACLES = {
     "op3_decontaminate": OP3,
     "op4_quality_rules": OP4,
+    "op5_warc_archives": OP5,
     "op7_mix_sources": OP7,
 }

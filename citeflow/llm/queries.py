@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citeflow.llm import decontaminate, mixture, quality_rules, simhash, token_files
+from citeflow.llm import (
+    decontaminate, mixture, quality_rules, secret_scan, simhash, token_files, warc,
+)
 from citeflow.plans.workspace import new_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +59,16 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     shards = token_files.write(docs, new_dir(spark, "tokens"), TOKENIZER)
     return token_files.read_checksums(shards)
+
+
+@query
+def op5_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(_read(spark, sf_dir, "pages"), new_dir(spark, "warc"))
+    return warc.read(archives, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(_read(spark, sf_dir, "documents"))
