@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from citeflow.llm.license_scan import NOTICES, PHRASES
 from citeflow.llm.quality_rules import STOP_WORDS
 
 _SPACED = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -89,6 +90,53 @@ LEFT JOIN cut ON d.source IS NOT DISTINCT FROM cut.source
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+_TEMPLATES = (*PHRASES, *NOTICES)
+_LISTED = ", ".join(f"({k}, '{t.label}', {t.phrase}, '{t.text}')" for k, t in enumerate(_TEMPLATES))
+OP2 = f"""
+WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+t AS (
+  SELECT template, label, phrase, string_split(body, ' ') AS tw
+  FROM (VALUES {_LISTED}) AS x(template, label, phrase, body)
+),
+tp AS (
+  SELECT template, i, tw[i] || ' ' || tw[i + 1] AS pair
+  FROM (SELECT template, tw, unnest(range(1, len(tw))) AS i FROM t)
+),
+dp AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] AS pair
+  FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d)
+),
+v AS (
+  SELECT doc_id, template, dp.i - tp.i AS diagonal, list(DISTINCT tp.i) AS seen
+  FROM dp JOIN tp USING (pair) GROUP BY ALL
+),
+u AS (
+  SELECT v.*, phrase, label, len(tw) - 1 AS size FROM v JOIN t USING (template)
+  WHERE CASE WHEN phrase THEN len(seen) = len(tw) - 1 ELSE len(seen) >= least(3, len(tw) - 1) END
+),
+g AS (
+  SELECT *, CASE WHEN phrase OR coalesce(diagonal - lag(diagonal) OVER o, 99) > 3 THEN 1 ELSE 0 END AS new
+  FROM u WINDOW o AS (PARTITION BY doc_id, template ORDER BY diagonal)
+),
+h AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS part FROM g),
+m AS (
+  SELECT doc_id, template, part, any_value(phrase) AS phrase, any_value(label) AS label, min(diagonal) AS start,
+    len(list_distinct(flatten(list(seen)))) / any_value(size) AS share
+  FROM h GROUP BY doc_id, template, part
+),
+f AS (
+  SELECT doc_id, count(*) FILTER (phrase) AS n_base, min(start) FILTER (phrase) AS first_word,
+    max(start) FILTER (phrase) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (share >= 0.6) AS labels, max(share) AS score
+  FROM m GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+  last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN f USING (doc_id)
+"""
+
 OP3 = rf"""
 WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
 b AS (SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item, {_ALNUM} AS w FROM benchmark),
@@ -136,6 +184,7 @@ FROM p
 """
 
 ORACLES = {
+    "op2_license_scan": OP2,
     "op3_decontaminate": OP3,
     "op4_quality_rules": OP4,
     "op5_warc_archives": OP5,

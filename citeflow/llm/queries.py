@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from citeflow.llm import (
-    decontaminate, mixture, quality_rules, secret_scan, simhash, token_files, warc,
+    decontaminate, license_scan, mixture, quality_rules, secret_scan, simhash, token_files, warc,
 )
 from citeflow.plans.workspace import new_dir
 
@@ -72,3 +72,8 @@ def op5_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(_read(spark, sf_dir, "documents"))
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_read(spark, sf_dir, "documents"))
