@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from citeflow.llm import (
-    decontaminate, license_scan, mixture, quality_rules, secret_scan, simhash, token_files, warc,
+    decontaminate, license_scan, mixture, ngram_lm, quality_classifier, quality_rules, secret_scan,
+    simhash, token_files, warc,
 )
 from citeflow.plans.workspace import new_dir
 
@@ -77,3 +78,13 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(_read(spark, sf_dir, "documents"))
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+@query
+def op10_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(_read(spark, sf_dir, "documents"))
