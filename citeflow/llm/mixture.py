@@ -148,23 +148,32 @@ def mix(
     cuts = _cuts(keyed, per_source.select("source", "need"), spark)
     plan = stored(
         per_source.join(cuts, per_source["source"].eqNullSafe(cuts["source"]), "left").select(
-            per_source["source"].alias("_source"), "source_size", "target", "whole",
-            F.coalesce("cut", F.lit(-1)).alias("cut"),
+            per_source["source"].alias("_mix_source"), F.struct(
+                "source_size", "target", "whole", F.coalesce("cut", F.lit(-1)).alias("cut")
+            ).alias("_mix_plan"),
         ),
         spark, "mixplan",
     )
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in ADDED]
-    placed = docs.select(*kept, size.alias("size"), F.struct(
-        h.alias("h"), F.col(f"`{source}`").alias("source")).alias("_k"))
-    joined = placed.join(plan, placed["_k.source"].eqNullSafe(plan["_source"]))
-    copies = (F.col("whole") + F.when(F.col("_k.h") <= F.col("cut"), 1).otherwise(0)).cast("long")
+    placed = docs.select(*kept, F.struct(
+        size.alias("size"), h.alias("h"), F.col(f"`{source}`").alias("source")).alias("_mix_key"))
+    joined = placed.join(plan, placed["_mix_key.source"].eqNullSafe(plan["_mix_source"]))
+    more = F.when(F.col("_mix_key.h") <= F.col("_mix_plan.cut"), 1).otherwise(0)
+    copies = (F.col("_mix_plan.whole") + more).cast("long")
     return joined.select(
-        *kept, "size", "source_size", "target", copies.alias("copies"),
-        (copies * F.col("size")).alias("taken"),
+        *kept, F.col("_mix_key.size").alias("size"), F.col("_mix_plan.source_size").alias("source_size"),
+        F.col("_mix_plan.target").alias("target"), copies.alias("copies"),
+        (copies * F.col("_mix_key.size")).alias("taken"),
     )
 
 
-def repeated(mixed: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The mix itself: each row as often as it is taken, without the rows it leaves out."""
+def mixed_rows(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options
+) -> DataFrame:
+    """The mix itself: each row as often as it is taken, with the columns it came with."""
+    whole = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{doc_id}`").alias("id"),
+        F.col(f"`{text}`").alias("text"), F.col(f"`{source}`").alias("source"),
+    )
     times = F.array_repeat(F.lit(0), F.col("copies").cast("int"))
-    return mixed.select(*(f"`{c}`" for c in columns), F.explode(times).alias("_")).drop("_")
+    return mix(whole, "id", "text", "source", **options).select("row", F.explode(times)).select("row.*")

@@ -118,10 +118,13 @@ def signals(docs: DataFrame, text: str = "text", keep: Sequence[str] | None = No
         "sort_array(transform(filter(_s, (e, k) -> "
         "(k > 0 AND e.h = _s[k - 1].h) OR (k + 1 < size(_s) AND e.h = _s[k + 1].h)), e -> e.i))"
     ).alias("_p"))
-    return starts.select(*kept, *passed, F.expr(
+    repeats = F.expr(
         f"aggregate(transform(_p, (p, k) -> least({WINDOW}, "
         f"coalesce(get(_p, k + 1) - p, {WINDOW}))), 0L, (s, x) -> s + x)"
-    ).alias("n_repeat_words"))
+    ).alias("n_repeat_words")
+    # Filters are not pushed through a generator. Pushed further they would put the arrays back
+    # into the lambdas that read them, to be made anew for each element.
+    return starts.select(*kept, F.inline(F.array(F.struct(*passed, repeats))))
 
 
 def verdict(rules: Sequence[Rule]) -> Column:

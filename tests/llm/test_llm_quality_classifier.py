@@ -55,8 +55,8 @@ def test_odd_rows(spark, odd_docs, no_docs, tables):
 
 def test_training_of_two_classes():
     rng = np.random.default_rng(3)
-    x = rng.normal(size=(600, qc.DIM + 3)).astype(np.float32)
-    y = (x[:, 0] * x[:, 1] + 0.3 * rng.normal(size=600) > 0).astype(float)
+    x = rng.normal(size=(4000, qc.DIM + 3)).astype(np.float32)
+    y = (np.abs(x[:, 0]) + 0.1 * rng.normal(size=4000) > 0.7).astype(float)  # no line parts these
     network = qc.train(x, y)
     assert np.mean((network.probabilities(x) > 0.5) == y) > 0.8
     assert (qc.train(x, y).probabilities(x) == network.probabilities(x)).all()
