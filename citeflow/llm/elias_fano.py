@@ -8,13 +8,6 @@ import numpy as np
 
 from citeflow.llm.files import open_read, open_write
 
-_BYTE_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
-# Place of the k-th set bit of a byte; 8 if there is none.
-_BYTE_SELECT = np.array(
-    [[([i for i in range(8) if b >> i & 1] + [8] * 8)[k] for k in range(8)] for b in range(256)], np.uint8
-)
-
-
 class EliasFano:
     """A non-decreasing sequence: low bits packed side by side, high bits in unary.
 
@@ -36,7 +29,7 @@ class EliasFano:
         bits = np.zeros(-(-(n + (top >> low_bits) + 2) // 64) * 64, np.uint8)
         bits[high + np.arange(n)] = 1
         packed = np.packbits(bits, bitorder="little").view("<u8")
-        ones = _BYTE_ONES[packed.view(np.uint8)].reshape(-1, 8).sum(axis=1, dtype=np.int64)
+        ones = np.bitwise_count(packed).astype(np.int64)
         return cls(n, low_bits, cls._pack(values & np.uint64((1 << low_bits) - 1), low_bits), packed,
                    np.concatenate(([0], np.cumsum(ones))))
 
@@ -71,12 +64,15 @@ class EliasFano:
     @staticmethod
     def _place(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
         """Place of the set bit of each word before which ``rank`` others are set."""
-        parts = np.ascontiguousarray(words).view(np.uint8).reshape(-1, 8)
-        ones = np.cumsum(_BYTE_ONES[parts], axis=1, dtype=np.int64)
-        byte = (ones <= rank[:, None]).sum(axis=1)
-        rows = np.arange(len(words))
-        before = np.where(byte > 0, ones[rows, np.maximum(byte - 1, 0)], 0)
-        return byte * 8 + _BYTE_SELECT[parts[rows, byte], rank - before]
+        words, rank = words.copy(), rank.astype(np.int64)
+        place = np.zeros(len(words), np.int64)
+        for width in (32, 16, 8, 4, 2, 1):  # halves, then quarters, and so on
+            ones = np.bitwise_count(words & np.uint64((1 << width) - 1))
+            step = (rank >= ones) * np.int64(width)
+            rank -= ones * (step > 0)
+            words >>= step.view(np.uint64)
+            place += step
+        return place
 
     def access(self, at: np.ndarray) -> np.ndarray:
         """Values at places."""

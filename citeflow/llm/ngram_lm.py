@@ -11,6 +11,7 @@ Probabilities are smoothed by absolute discounting: an n-gram has ``(c - D) / c(
 context's left-over weight times the probability after the shorter context. Both are stored as
 multiples of 1/2000 of a negative decimal logarithm in 16 bits.
 
+Texts are coded once, as numbers of their words, and stored; later passes read the numbers.
 Counting, sorting and summing are Spark's; tasks write sorted ranges as shards and map the shards
 of lower levels. A level is never in one task or on the driver; the driver sees a row per shard.
 N-grams of a hot context are spread over shards by their next word.
@@ -45,8 +46,8 @@ MIN_COUNT = 2
 DISCOUNT = 0.75
 STEPS = 2000
 END = b""  # no word is empty
-CHUNK_TOKENS = 1 << 19
-COUNTER_WORDS = 300_000
+CHUNK_TOKENS = 1 << 18
+COUNTER_WORDS = 200_000
 HASH_BITS = 63
 WEIGHT_BITS = 20  # entries to a file of left-over weights
 SHARD = (
@@ -99,7 +100,10 @@ class Trie:
 
     def word_ids(self, words: list[bytes]) -> np.ndarray:
         """Numbers at level 1, -1 for unknown words."""
-        coded, back = np.unique(hashes(words, self.seed, self.hash_bits), return_inverse=True)
+        number = {w: k for k, w in enumerate(dict.fromkeys(words))}
+        plain = hashes(list(number), self.seed, self.hash_bits)
+        order = np.argsort(plain)
+        coded = plain[order]
         ids = np.full(len(coded), -1, np.int64)
         cuts = np.searchsorted(coded, [s.first_word for s in self.levels[0]]).tolist() + [len(coded)]
         for shard, start, end in zip(self.levels[0], cuts, cuts[1:]):
@@ -110,7 +114,9 @@ class Trie:
                 same = np.zeros(len(at), bool)
                 same[inside] = ef.access(at[inside]).astype(np.int64) == asked[inside]
                 ids[start:end][same] = shard.base + at[same]
-        return ids[back]
+        unsorted = np.empty_like(ids)
+        unsorted[order] = ids
+        return unsorted[np.fromiter(map(number.__getitem__, words), np.int64, len(words))]
 
     def find(self, level: int, parents: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Numbers at ``level`` (2 or more) of the words after contexts, -1 where not stored."""
@@ -124,17 +130,17 @@ class Trie:
             if start == end:
                 continue
             data = self._shard(shard.path)
-            context = parents[start:end] - shard.first_parent
-            known = np.flatnonzero(context < data["pointers"].n - 1)
-            context, asked = context[known], words[start:end][known]
-            first = data["pointers"].access(context).astype(np.int64)
-            last = data["pointers"].access(context + 1).astype(np.int64)
-            some = first < last
-            known, first, last, asked = known[some], first[some], last[some], asked[some]
-            base = np.zeros(len(first), np.int64)
-            later = first > 0
+            context, times = np.unique(parents[start:end] - shard.first_parent, return_counts=True)
+            inside = context < data["pointers"].n - 1  # contexts beyond have no successors here
+            first, last, base = (np.zeros(len(context), np.int64) for _ in range(3))
+            first[inside] = data["pointers"].access(context[inside]).astype(np.int64)
+            last[inside] = data["pointers"].access(context[inside] + 1).astype(np.int64)
+            later = (first > 0) & (first < last)
             base[later] = data["ids"].access(first[later] - 1).astype(np.int64)
-            value = base + asked + 1
+            first, last, base = (np.repeat(v, times) for v in (first, last, base))
+            known = np.flatnonzero(first < last)
+            first, last = first[known], last[known]
+            value = base[known] + words[start:end][known] + 1
             at = data["ids"].successor(value, first, last)
             same = at < last
             same[same] = data["ids"].access(at[same]).astype(np.int64) == value[same]
@@ -203,11 +209,12 @@ class Tokens(NamedTuple):
     text: np.ndarray
 
 
-def _chunks(texts: Iterator[bytes | None], tokens: int) -> Iterator[list[list[bytes]]]:
+def _chunks(texts: Iterator, tokens: int) -> Iterator[list]:
+    """Texts in lists of about so many tokens."""
     held, size = [], 0
     for text in texts:
-        held.append([*spaced_words(text), END])
-        size += len(held[-1])
+        held.append(text)
+        size += len(text)
         if size >= tokens:
             yield held
             held, size = [], 0
@@ -215,9 +222,34 @@ def _chunks(texts: Iterator[bytes | None], tokens: int) -> Iterator[list[list[by
         yield held
 
 
-def _tokens(trie: Trie, texts: list[list[bytes]]) -> Tokens:
-    ids = trie.word_ids([w for t in texts for w in t])
-    return Tokens(ids, np.repeat(np.arange(len(texts)), [len(t) for t in texts]))
+def _tokens(texts: list[np.ndarray]) -> Tokens:
+    return Tokens(np.concatenate(texts).astype(np.int64), np.repeat(np.arange(len(texts)), [len(t) for t in texts]))
+
+
+def _coded(column: pa.Array) -> Iterator[np.ndarray]:
+    """Numbers of the tokens of each text, as :func:`_encode` stores them."""
+    return (np.frombuffer(v.as_py(), "<i4") for v in column)
+
+
+def _encode(rows: DataFrame, shared) -> DataFrame:
+    """The rows with ``ids``, the numbers of their tokens (-1: unknown), in place of ``body``."""
+    size = CHUNK_TOKENS
+    schema = T.StructType([*(f for f in rows.schema if f.name != "body"), T.StructField("ids", T.BinaryType())])
+    place = rows.columns.index("body")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first, others = 0, [c for k, c in enumerate(batch.columns) if k != place]
+            for texts in _chunks(([*spaced_words(v.as_py()), END] for v in batch.column(place)), size):
+                ids = shared.value.word_ids([w for t in texts for w in t]).astype("<i4")
+                cuts = np.cumsum([len(t) for t in texts])[:-1]
+                data = pa.array([part.tobytes() for part in np.split(ids, cuts)], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(first, len(texts)) for c in others), data], names=schema.names
+                )
+                first += len(texts)
+
+    return rows.mapInArrow(run, schema)
 
 
 def _entries(trie: Trie, tokens: Tokens, levels: int) -> list[np.ndarray]:
@@ -295,21 +327,21 @@ def _write_words(counted: DataFrame, folder: str) -> DataFrame:
     return counted.repartitionByRange("h").sortWithinPartitions("h").mapInArrow(run, SHARD)
 
 
-def _ngram_counts(texts: DataFrame, shared, level: int) -> DataFrame:
-    """``parent, word, c`` of the n-grams of ``level`` tokens seen at least ``MIN_COUNT`` times."""
+def _ngram_counts(coded: DataFrame, shared, level: int) -> DataFrame:
+    """From one column of coded texts, ``parent, word, c`` of the n-grams of ``level`` tokens seen at least ``MIN_COUNT`` times."""
     kinds, size = "parent BIGINT, word BIGINT, c BIGINT", CHUNK_TOKENS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = shared.value
-        for chunk in _chunks((v.as_py() for b in batches for v in b.column(0)), size):
-            tokens = _tokens(trie, chunk)
+        for chunk in _chunks((t for b in batches for t in _coded(b.column(0))), size):
+            tokens = _tokens(chunk)
             found = _entries(trie, tokens, level - 1)
             at = _extensible(trie, tokens, found)
             if len(at):
                 (parents, words), back = _unique_pairs(found[-1][at - 1], tokens.ids[at])
                 yield _batch((parents, words, np.bincount(back.ravel())), kinds)
 
-    counted = texts.mapInArrow(run, kinds).groupBy("parent", "word").agg(F.sum("c").alias("c"))
+    counted = coded.mapInArrow(run, kinds).groupBy("parent", "word").agg(F.sum("c").alias("c"))
     return counted.where(F.col("c") >= MIN_COUNT)
 
 
@@ -382,12 +414,15 @@ def _shards(table: DataFrame) -> list[Shard]:
     return shards
 
 
-def build(texts: DataFrame, order: int = ORDER, hash_bits: int = HASH_BITS,
-          weight_bits: int = WEIGHT_BITS) -> Trie:
-    """The model of a table with one binary column of texts; its files are in the shared folder."""
+def build(rows: DataFrame, order: int = ORDER, hash_bits: int = HASH_BITS,
+          weight_bits: int = WEIGHT_BITS) -> tuple[Trie, DataFrame]:
+    """The model of the rows that are ``learned``, from their binary ``body``, and all rows coded.
+
+    The model's files and the coded rows (``ids`` in place of ``body``) are in the shared folder.
+    """
     if order not in (1, 2, 3):
         raise ValueError("order must be 1, 2 or 3")
-    spark = texts.sparkSession
+    spark, texts = rows.sparkSession, rows.where("learned").select("body")
     folder = new_dir(spark, "lm")
     make_dir(folder)
     seed, clashes = 0, 1
@@ -397,14 +432,18 @@ def build(texts: DataFrame, order: int = ORDER, hash_bits: int = HASH_BITS,
         table = stored(_write_words(counted, folder), spark, "lmshards")
         tokens, clashes = table.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("clashes"), F.lit(0))).first()
     trie = Trie(seed, [_shards(table)], [], tokens, hash_bits, weight_bits)
+    if trie.words >= 1 << 31:
+        raise ValueError("words are numbered with 31 bits")
+    coded = stored(_encode(rows, _shared(spark, trie)), spark, "coded")
+    learned = coded.where("learned").select("ids")
     for level in range(2, order + 1):
-        counted = stored(_ngram_counts(texts, _shared(spark, trie), level), spark, "ngrams")
+        counted = stored(_ngram_counts(learned, _shared(spark, trie), level), spark, "ngrams")
         files = stored(_write_weights(counted, _shared(spark, trie), level - 1, folder), spark, "lmweights")
         weights = [*trie.weights, {r.part: r.path for r in files.collect()}]
         trie = Trie(seed, trie.levels, weights, tokens, hash_bits, weight_bits)
         table = stored(_write_level(counted, _shared(spark, trie), level, folder), spark, "lmshards")
         trie = Trie(seed, [*trie.levels, _shards(table)], weights, tokens, hash_bits, weight_bits)
-    return trie
+    return trie, coded
 
 
 def _shared(spark: SparkSession, trie: Trie):
@@ -434,10 +473,12 @@ def token_logs(trie: Trie, tokens: Tokens) -> np.ndarray:
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: int = ORDER, **options) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for each row."""
-    body = F.col(f"`{text}`").cast("binary").alias("body")
-    trie = build(docs.where(~is_held_out(F.col(f"`{doc_id}`"))).select(body), order, **options)
+    key = F.col(f"`{doc_id}`")
+    trie, coded = build(docs.select(
+        key.alias("doc_id"), (~is_held_out(key)).alias("learned"), F.col(f"`{text}`").cast("binary").alias("body"),
+    ), order, **options)
     shared = _shared(docs.sparkSession, trie)
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), body)
+    rows = coded.select("doc_id", "ids")
     kinds = "n_tokens BIGINT, n_known BIGINT, train_tokens BIGINT, base_score DOUBLE, score DOUBLE"
     size = CHUNK_TOKENS
     schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), *T.StructType.fromDDL(kinds)])
@@ -446,8 +487,8 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
         trie = shared.value
         for batch in batches:
             first = 0
-            for chunk in _chunks((v.as_py() for v in batch.column(1)), size):
-                tokens = _tokens(trie, chunk)
+            for chunk in _chunks(_coded(batch.column(1)), size):
+                tokens = _tokens(chunk)
                 n = len(chunk)
                 counts = _counts(trie, tokens.ids)
                 base = np.log10((counts + 1) * trie.unit)

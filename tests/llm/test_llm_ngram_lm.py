@@ -98,10 +98,12 @@ def test_small_chunks_and_many_shards(spark, tables, monkeypatch):
 
 def test_clashing_hashes_take_another_seed(spark):
     rows = [(1, "a b c d e a b"), (2, "b c a b"), (5, "x")]
-    texts = spark.createDataFrame(rows, "doc_id BIGINT, body STRING").selectExpr("CAST(body AS BINARY) body")
+    texts = spark.createDataFrame(rows, "doc_id BIGINT, body STRING").selectExpr(
+        "true AS learned", "CAST(body AS BINARY) AS body")
     distinct = sorted({w for _, t in rows for w in words_of(t)})
     good = next(s for s in range(1, 500) if len(set(lm.hashes(distinct, s, 4))) == len(distinct))
-    trie = lm.build(texts, 2, hash_bits=4)
+    trie, coded = lm.build(texts, 2, hash_bits=4)
+    assert coded.columns == ["learned", "ids"]
     assert trie.seed == good > 1 and sorted(trie.word_ids(distinct)) == list(range(len(distinct)))
 
 
