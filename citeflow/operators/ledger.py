@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeflow.operators.tables import latest
-from citeflow.sources.records import NameRule, phase_of
+from citeflow.sources.records import NameRule, phase_of, plain_path
 
 
 def list_files(spark: SparkSession, data_dir: str, name: NameRule) -> DataFrame:
@@ -17,7 +17,7 @@ def list_files(spark: SparkSession, data_dir: str, name: NameRule) -> DataFrame:
         .option("pathGlobFilter", "*.gz")
         .load(data_dir)
     )
-    file = name(F.col("path"))
+    file = name(plain_path())
     return listed.select("path", "length", file.alias("file"), phase_of(file).alias("phase"))
 
 

@@ -16,13 +16,9 @@ UPSERT, TOMBSTONE, QUARANTINED, SKIPPED = "U", "D", "X", "S"
 # Up to this many ids a lookup is a literal list that the scan can use; beyond it, a join.
 LITERAL_IDS = 1000
 
-# A log of at most this many changes is sent to a snapshot whole (ids and order keys only, some
-# hundred bytes a row); a longer one is merged by a shuffle of both.
-BROADCAST_ROWS = 500_000
-
 
 def changes(
-    records: DataFrame, fields: Sequence[str] = DOC_FIELDS, store_raw: bool = False
+    records: DataFrame, fields: Sequence[str] = DOC_FIELDS, store_raw: bool = False, seq: int = 0
 ) -> DataFrame:
     """All changes that a scan of records asks for, in one pass over them.
 
@@ -55,7 +51,7 @@ def changes(
         .otherwise(SKIPPED)
     )
     return judged.select(
-        op.alias("op"), "pmid", "phase", "file", "block", "ord", "kind", "error",
+        op.alias("op"), "pmid", "phase", "file", F.lit(seq).cast("bigint").alias("seq"), "block", "ord", "kind", "error",
         F.when(loadable, kept_raw).alias("raw_xml"),
         F.when(op == UPSERT, doc).alias("doc"),
     )
@@ -102,19 +98,18 @@ def _order(rows: DataFrame) -> Column:
 
 
 def merge_latest(snapshot: DataFrame, log: DataFrame) -> DataFrame:
-    """Latest change per id of a snapshot and a log that is small beside it.
+    """Latest change per id of a snapshot, which holds one row per id, and a log of any size.
 
-    ``snapshot`` holds one row per id. It is read in place, not shuffled: the ids of the log are
-    sent to it. Call it only with a log whose size has been checked (``BROADCAST_ROWS``).
+    Only ids and order keys of the log are joined with the snapshot. Spark chooses how by its own
+    statistics: it sends them to the snapshot if it finds them small and shuffles otherwise.
     """
     delta = latest_changes(log)
     newest = delta.select("pmid", *CHANGE_ORDER)
-    sent = F.broadcast(newest)
-    replaced = (snapshot["pmid"] == sent["pmid"]) & (_order(sent) >= _order(snapshot))
-    kept = snapshot.join(sent, replaced, "left_anti")
+    replaced = (snapshot["pmid"] == newest["pmid"]) & (_order(newest) >= _order(snapshot))
+    kept = snapshot.join(newest, replaced, "left_anti")
 
     known = snapshot.select("pmid", *CHANGE_ORDER)
-    known = known.join(F.broadcast(newest.select("pmid")), "pmid", "left_semi")
+    known = known.join(newest.select("pmid"), "pmid", "left_semi")
     stale = (delta["pmid"] == known["pmid"]) & (_order(known) > _order(delta))
     return kept.unionByName(delta.join(known, stale, "left_anti"))
 

@@ -17,8 +17,6 @@ from citeflow.plans.workspace import new_dir
 from citeflow.schema import ARTICLE
 from citeflow.sources.records import read_records
 
-MAX_FILES = 100_000
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -26,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def file_count(rows: DataFrame, rows_per_file: int) -> int:
     """Files for a table: the row count comes from the Parquet footers."""
-    return max(1, min(MAX_FILES, rows.count() // rows_per_file))
+    return max(1, rows.count() // rows_per_file)
 
 
 def folder_name(path: Column) -> Column:

@@ -18,7 +18,7 @@ WITH cleaned AS (
   SELECT doc_id, lang, source,
     string_split(regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)),
       '[\x00-\x08\x0B\x0C\x0E-\x1F\x{FFFE}\x{FFFF}]', '', 'g'), chr(10)) AS lines,
-    'baseline/art-' || lpad((doc_id % (SELECT greatest(1, least(100000, count(*) // 500))
+    'baseline/art-' || lpad((doc_id % (SELECT greatest(1, count(*) // 500)
       FROM documents))::VARCHAR, 6, '0') || '.xml.gz' AS file
   FROM documents),
 every AS (
@@ -76,8 +76,7 @@ ORACLES.update({name: _TEXTS + sql for name, sql in _TEXT_QUERIES.items()})
 
 # orders -------------------------------------------------------------------------------------
 
-_FILE_OF_ORDER = """'baseline/ord-' || lpad((o_orderkey % (SELECT greatest(1, least(100000,
-    count(*) // 4000)) FROM orders))::VARCHAR, 6, '0') || '.xml.gz'"""
+_FILE_OF_ORDER = """'baseline/ord-' || lpad((o_orderkey % (SELECT greatest(1, count(*) // 4000) FROM orders))::VARCHAR, 6, '0') || '.xml.gz'"""
 
 _AUTHOR = """CASE o_custkey % 4 WHEN 0 THEN 'C' || o_custkey || ', ' || o_orderstatus
       WHEN 1 THEN 'C' || o_custkey || ', ' || o_orderstatus WHEN 2 THEN ', '
@@ -177,7 +176,7 @@ WITH placed AS (
   SELECT *, CASE WHEN l_shipdate < '1998-01-01' THEN 0 ELSE 1 END AS phase,
     CASE WHEN l_shipdate < '1998-01-01' THEN 'baseline' ELSE 'updatefiles' END || '/chg-' ||
       lpad(((l_orderkey + 7 * l_linenumber + 13 * l_partkey + 31 * l_suppkey) %
-      (SELECT greatest(1, least(100000, count(*) // 8000)) FROM lineitem))::VARCHAR, 6, '0') ||
+      (SELECT greatest(1, count(*) // 8000) FROM lineitem))::VARCHAR, 6, '0') ||
       '.xml.gz' AS file,
     l_orderkey || '-' || l_linenumber || '-' || l_suppkey AS title,
     CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 'D' ELSE 'U' END AS op
@@ -250,7 +249,7 @@ ORACLES.update({name: _REVISIONS + sql for name, sql in _REVISION_QUERIES.items(
 _KINDS = """
 WITH placed AS (
   SELECT *, 'updatefiles/evt-' || CASE WHEN event_type IN ('purchase', 'error') THEN 'del-'
-      ELSE 'art-' END || lpad((event_id % (SELECT greatest(1, least(100000, count(*) // 2500))
+      ELSE 'art-' END || lpad((event_id % (SELECT greatest(1, count(*) // 2500)
       FROM events))::VARCHAR, 6, '0') || '.xml.gz' AS file,
     CASE WHEN event_type = 'view' THEN 'PubmedArticle' WHEN event_type = 'click' THEN
       'PubmedBookArticle' WHEN event_type = 'signup' THEN 'BookDocument' WHEN

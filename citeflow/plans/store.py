@@ -2,7 +2,8 @@
 
 Below ``root``:
 
-* ``changes/batch=B``   the changes of one load; a stream that retries a batch overwrites it;
+* ``settings``          one row: the number of hash buckets, fixed when the store is created;
+* ``changes/batch=B``   the changes of one load; only an unfinished batch is ever overwritten;
 * ``ledger/batch=B``    the files of that load; written last, so it is also what makes the
   batch count: changes of a batch without ledger rows are not read;
 * ``snapshots/snapshot=M``  latest change per id, hash-bucketed, with tombstones and ordering
@@ -19,22 +20,25 @@ import time
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeflow.operators.ledger import ledger_current, ledger_rows, list_files, pending_files
 from citeflow.operators.tables import (
-    BROADCAST_ROWS, LITERAL_IDS, QUARANTINED, SKIPPED, UPSERT, changes, latest_changes, lookup,
+    LITERAL_IDS, QUARANTINED, SKIPPED, UPSERT, changes, latest_changes, lookup,
     merge_latest, quarantined, upserts,
 )
-from citeflow.schema import CHANGE, LEDGER
+from citeflow.schema import CHANGE, LEDGER, SETTINGS
 from citeflow.sources.records import NameRule, read_records, relative_to
 
 # Gzip bytes to a partition when records are spread: some hundred megabytes of XML.
 SPREAD_BYTES = 16 << 20
 
 _LOADED_AT = "loaded_at"
-_LEDGER_ROW = f"{LEDGER}, {_LOADED_AT} TIMESTAMP"
+_LEDGER_ROW = f"{LEDGER}, {_LOADED_AT} TIMESTAMP, seq BIGINT"
+# A session may ask for dynamic overwriting, which would keep what a reset must remove.
+_STATIC = {"partitionOverwriteMode": "static"}
 _POINTER = "snapshot BIGINT, batches ARRAY<STRING>"
 
 
@@ -54,17 +58,43 @@ def _spread(lengths: Sequence[int], cores: int) -> int | None:
 
 
 class CitationStore:
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str):
+        """Open a store that exists."""
         self.spark = spark
         self.root = root.rstrip("/")
-        self.buckets = buckets
+        found = self._settings()
+        if found is None:
+            raise FileNotFoundError(f"no store at {self.root}; use CitationStore.create")
+        self.buckets = found
 
     @classmethod
-    def create(cls, spark: SparkSession, root: str, buckets: int = 64) -> CitationStore:
-        store = cls(spark, root, buckets)
-        store.reset()
+    def create(cls, spark: SparkSession, root: str, buckets: int | None = None) -> CitationStore:
+        """Open a store; create it, with 64 buckets unless told otherwise, if there is none.
+
+        An existing store keeps its tables and its buckets; asking for another number fails.
+        """
+        store = cls.__new__(cls)
+        store.spark, store.root = spark, root.rstrip("/")
+        found = store._settings()
+        if found is not None and buckets not in (None, found):
+            raise ValueError(f"the store at {store.root} has {found} buckets")
+        store.buckets = found or buckets or 64
+        if found is None:
+            store.reset()
+            settings = spark.createDataFrame([(store.buckets,)], SETTINGS)
+            settings.coalesce(1).write.mode("overwrite").parquet(store._path("settings"))
         return store
 
+    def _settings(self) -> int | None:
+        """Buckets of the store, None if there is no store."""
+        try:
+            row = self.spark.read.schema(SETTINGS).parquet(self._path("settings")).first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return row.buckets if row else None
+
     def _path(self, *parts: str) -> str:
         return "/".join((self.root, *parts))
 
@@ -74,9 +104,12 @@ class CitationStore:
         """Empty all tables, keeping their schemas. Streams need new checkpoints afterwards."""
         for table, schema in (("ledger", _LEDGER_ROW), ("changes", CHANGE)):
             empty = self.spark.createDataFrame([], f"{schema}, batch STRING")
-            empty.write.mode("overwrite").partitionBy("batch").parquet(self._path(table))
-        pointers = self.spark.createDataFrame([], _POINTER)
-        pointers.write.mode("overwrite").parquet(self._path("pointers"))
+            empty.write.options(**_STATIC).mode("overwrite").partitionBy("batch").parquet(
+                self._path(table)
+            )
+        for table, schema in (("pointers", _POINTER), ("snapshots", f"{CHANGE}, bucket INT")):
+            empty = self.spark.createDataFrame([], schema)
+            empty.write.options(**_STATIC).mode("overwrite").parquet(self._path(table))
 
     def reset_ledger(self) -> None:
         """Forget which files were processed, keeping the documents: a row without a file name
@@ -84,7 +117,7 @@ class CitationStore:
         row = self.spark.range(1).select(
             F.lit(None).cast("STRING").alias("file_key"), F.lit(None).cast("STRING").alias("fn"),
             F.lit(0).cast("BIGINT").alias("article_cnt"), F.lit(0.0).alias("duration"),
-            F.current_timestamp().alias(_LOADED_AT),
+            F.current_timestamp().alias(_LOADED_AT), F.lit(self._next_seq()).cast("BIGINT").alias("seq"),
         )
         row.coalesce(1).write.parquet(self._path("ledger", f"batch={_new_batch('reset')}"))
 
@@ -94,11 +127,15 @@ class CitationStore:
     def ledger(self) -> DataFrame:
         """Processed files: the last entry of each since the ledger was last reset."""
         log = self._ledger_log().drop("batch")
-        void_to = log.where(F.col("fn").isNull()).agg(F.max(_LOADED_AT)).first()[0]
+        void_to = log.where(F.col("fn").isNull()).agg(F.max("seq")).first()[0]
         rows = log.where(F.col("fn").isNotNull())
         if void_to is not None:
-            rows = rows.where(F.col(_LOADED_AT) > F.lit(void_to))
-        return ledger_current(rows, _LOADED_AT)
+            rows = rows.where(F.col("seq") > F.lit(void_to))
+        return ledger_current(rows.drop(_LOADED_AT), "seq")
+
+    def _next_seq(self) -> int:
+        """Number of the next load: above all finished ones."""
+        return (self._ledger_log().agg(F.max("seq")).first()[0] or 0) + 1
 
     def _committed(self) -> set[str]:
         """Names of the finished batches: one per load, not per file or record."""
@@ -136,9 +173,7 @@ class CitationStore:
         snapshot = snapshot.drop("bucket")
         if not newer:
             return snapshot
-        if self._log(newer).count() <= BROADCAST_ROWS:
-            return merge_latest(snapshot, log)
-        return latest_changes(snapshot.unionByName(log))
+        return merge_latest(snapshot, log)
 
     def _current(self, ids: Sequence[str] | None = None) -> DataFrame:
         return upserts(self._latest(ids))
@@ -183,11 +218,15 @@ class CitationStore:
         """Write the changes of scanned records, then the ledger rows that commit them.
 
         ``files`` lists files that belong in the ledger even if they hold no record. Spark times
-        the batch, not its files: a file's duration is its share of the batch, by records.
+        the batch, not its files: a file's duration is its share of the batch, by records. A batch
+        that is already finished is left as it is: a stream may offer one again after a failure.
         """
-        start = time.monotonic()
+        if self._ledger_log().where(F.col("batch") == batch).take(1):
+            return
+        start, seq = time.monotonic(), self._next_seq()
         path = self._path("changes", f"batch={batch}")
-        changes(records, store_raw=store_raw).write.mode("overwrite").parquet(path)
+        found = changes(records, store_raw=store_raw, seq=seq)
+        found.write.options(**_STATIC).mode("overwrite").parquet(path)
         seconds = time.monotonic() - start
 
         written = self.spark.read.schema(CHANGE).parquet(path)
@@ -199,8 +238,10 @@ class CitationStore:
         total = counts.agg(F.sum("article_cnt")).first()[0]
         per_record = seconds / total if total else 0.0
         stats = counts.withColumn("duration", F.col("article_cnt") * F.lit(per_record))
-        rows = ledger_rows(stats).withColumn(_LOADED_AT, F.current_timestamp())
-        rows.coalesce(1).write.mode("overwrite").parquet(self._path("ledger", f"batch={batch}"))
+        rows = ledger_rows(stats).withColumn(_LOADED_AT, F.current_timestamp()).withColumn(
+            "seq", F.lit(seq).cast("bigint")
+        )
+        rows.coalesce(1).write.options(**_STATIC).mode("overwrite").parquet(self._path("ledger", f"batch={batch}"))
 
     def load(
         self, data_dir: str, phase: int | None = None, store_raw: bool = False,
@@ -234,6 +275,6 @@ class CitationStore:
         bucketed = self._latest().withColumn("bucket", self._bucket(F.col("pmid")))
         ordered = bucketed.repartition(self.buckets, "bucket").sortWithinPartitions("bucket", "pmid")
         path = self._path("snapshots", f"snapshot={number + 1}")
-        ordered.write.mode("overwrite").partitionBy("bucket").parquet(path)
+        ordered.write.options(**_STATIC).mode("overwrite").partitionBy("bucket").parquet(path)
         pointer = self.spark.createDataFrame([(number + 1, sorted(committed))], _POINTER)
         pointer.coalesce(1).write.mode("append").parquet(self._path("pointers"))

@@ -23,16 +23,18 @@ DOC_FIELDS = (
     "article_types", "doi", "compounds", "mesh",
 )
 
+SETTINGS = "buckets INT"
 LEDGER = "file_key STRING, fn STRING, article_cnt BIGINT, duration DOUBLE"
 
 # op: U document, D tombstone, X quarantined record (raw_xml and error say which and why),
 # S element of an unhandled kind.
-# (phase, file, block, ord) is the total order in which changes apply.
+# (phase, file, seq, block, ord) is the total order in which changes apply; seq numbers the loads
+# of a store, so a file that is loaded again replaces its older version.
 CHANGE = (
-    "op STRING, pmid STRING, phase INT, file STRING, block BIGINT, ord BIGINT, "
+    "op STRING, pmid STRING, phase INT, file STRING, seq BIGINT, block BIGINT, ord BIGINT, "
     f"kind STRING, error STRING, raw_xml STRING, doc STRUCT<{DOC}>"
 )
-CHANGE_ORDER = ("phase", "file", "block", "ord")
+CHANGE_ORDER = ("phase", "file", "seq", "block", "ord")
 
 # Mixed content comes back as the list of its direct text nodes.
 _TEXT = "STRUCT<_VALUE: ARRAY<STRING>>"

@@ -8,6 +8,8 @@ size; plain XML splits.
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,10 +30,26 @@ _BLOCK_ID = r"<PMID[^>]*>\s*([^<\s]+)\s*</PMID>"
 NameRule = Callable[[Column], Column]
 
 
+_AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
 def relative_to(data_dir: str) -> NameRule:
-    """Name a file by its path below ``data_dir``."""
-    prefix = data_dir.rstrip("/") + "/"
-    return lambda path: F.substring_index(path, prefix, -1)
+    """Name a file by its path below ``data_dir``; a path elsewhere keeps its whole name."""
+    base = re.sub(_AUTHORITY, "", data_dir) if re.match(_AUTHORITY, data_dir) else os.path.abspath(data_dir)
+    prefix = base.rstrip("/") + "/"
+
+    def name(path: Column) -> Column:
+        bare = F.regexp_replace(path, _AUTHORITY, "")
+        below = F.substring(bare, len(prefix) + 1, 1 << 30)
+        return F.when(bare.startswith(prefix), below).otherwise(bare)
+
+    return name
+
+
+def plain_path() -> Column:
+    """Path of a scanned file as it is written; Spark's metadata column gives it URL-encoded."""
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(encoded)
 
 
 def phase_of(file: Column) -> Column:
@@ -45,7 +63,7 @@ def _options(separator: str) -> dict[str, str]:
 
 def _located(chunks: DataFrame) -> DataFrame:
     return chunks.select(
-        F.col("_metadata.file_path").alias("path"),
+        plain_path().alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         "value",
     )
@@ -62,7 +80,7 @@ def read_chunks(spark: SparkSession, paths: str | list[str], kind: str = ARTICLE
 def stream_chunks(
     spark: SparkSession, path: str, files_per_batch: int, kind: str = ARTICLE
 ) -> DataFrame:
-    reader = spark.readStream.options(**_options(end_tag(kind)))
+    reader = spark.readStream.options(**_options(end_tag(kind))).option("pathGlobFilter", "*.gz")
     return _located(reader.option("maxFilesPerTrigger", files_per_batch).text(path))
 
 

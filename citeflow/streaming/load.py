@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from citeflow.plans.store import CitationStore
@@ -15,17 +18,20 @@ def stream_load(
 ) -> StreamingQuery:
     """Start a load of all new files of a folder; it ends when they are done.
 
-    The checkpoint remembers the files taken. A batch that is retried overwrites its own folder,
-    and the order of changes lies in the rows, so neither retries nor late files change the
-    outcome. ``files_per_batch`` should give every executor core a file.
+    The checkpoint remembers the files taken. Batches are named by the stream's own id, which it
+    keeps in its checkpoint, so streams never share a name; a batch that is retried after it was
+    finished is skipped. Files that are in the ledger already are left out, as in a batch load.
+    ``files_per_batch`` should give every executor core a file.
     """
     rule = name or relative_to(data_dir)
     chunks = stream_chunks(store.spark, data_dir, files_per_batch)
 
     def write(batch: DataFrame, epoch: int) -> None:
-        store.write_batch(
-            f"stream-{stream}-{epoch:09d}", split_records(batch, rule), store_raw=store_raw
-        )
+        kept = store.spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first().value
+        name = f"stream-{stream}-{json.loads(kept)['id']}-{epoch:09d}"
+        done = store.ledger().select(F.col("fn").alias("file"))
+        records = split_records(batch, rule).join(done, "file", "left_anti")
+        store.write_batch(name, records, store_raw=store_raw)
 
     writer = chunks.writeStream.foreachBatch(write).queryName(f"load-{stream}")
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

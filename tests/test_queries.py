@@ -7,6 +7,8 @@ from citeflow.operators import tables as tab
 from citeflow.operators.documents import documents
 from citeflow.plans import corpora
 from citeflow.plans.corpora import corpus
+from citeflow.plans.oracles import ORACLES
+from citeflow.plans.queries import QUERIES
 from tests.check import connect, differences
 
 SF = "/root/testdata/sf0.001"
@@ -18,13 +20,14 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    got = entry.queries()[name](spark, SF)
-    assert got.columns and differences(got.toPandas(), duck.execute(entry.oracle_sql()[name]).df()) == ""
+    got = QUERIES[name](spark, SF)
+    assert got.columns and differences(got.toPandas(), duck.execute(ORACLES[name]).df()) == ""
 
 
 def test_entry(spark):

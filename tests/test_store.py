@@ -4,6 +4,7 @@ import shutil
 import pytest
 
 from citeflow.plans.store import CitationStore, _spread
+from citeflow.sources.records import read_records, relative_to
 from citeflow.streaming.load import stream_load
 from tests.samples import article, book, deletes, titled, write_file
 
@@ -97,18 +98,106 @@ def test_raw_is_stored_on_request(spark, tmp_path, data):
     assert "one new" in store.lookup_raw(["1"]).first().raw_xml
 
 
-def test_long_log_is_merged_by_shuffle(spark, tmp_path, data, monkeypatch):
+def test_the_log_is_merged_the_same_way_at_any_size(spark, tmp_path, data):
     store = new_store(spark, tmp_path)
     store.load(data, phase=0)
     store.compact()
     store.load(data)
     assert versions(store) == FINAL
-    monkeypatch.setattr("citeflow.plans.store.BROADCAST_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert versions(store) == FINAL
+        store.compact()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert versions(store) == FINAL
+
+
+def test_reopened_store_keeps_its_buckets_and_tables(spark, tmp_path, data):
+    store = new_store(spark, tmp_path)
+    store.load(data)
     store.compact()
+    again = CitationStore(spark, store.root)
+    assert again.buckets == 4 and {r.title for r in again.lookup(["1", "2"]).collect()} == {"one new", "two back"}
+    assert versions(CitationStore.create(spark, store.root)) == FINAL
+    with pytest.raises(ValueError):
+        CitationStore.create(spark, store.root, buckets=8)
+    with pytest.raises(FileNotFoundError):
+        CitationStore(spark, str(tmp_path / "nowhere"))
+
+
+def test_reset_empties_under_dynamic_overwriting(spark, tmp_path, data):
+    store = new_store(spark, tmp_path)
+    store.load(data)
+    store.compact()
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        store.reset()
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert versions(store) == {} and store.ledger().count() == 0 and store.load(data) == 6
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_reloaded_file_replaces_its_old_version(spark, tmp_path, data, compacted):
+    store = new_store(spark, tmp_path)
+    store.load(data)
+    if compacted:
+        store.compact()
+    write_file(data, "updatefiles/n4.xml.gz", article("2", title=titled("two corrected")))
+    store.reset_ledger()
+    assert store.load(data) == 6
+    assert versions(store) == {**FINAL, "2": ("two corrected", "updatefiles/n4.xml.gz")}
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_two_streams_do_not_touch_each_other(spark, tmp_path, compacted):
+    store, want = new_store(spark, tmp_path), {}
+    for k in (1, 2):
+        folder = tmp_path / f"folder{k}"
+        write_file(folder, f"updatefiles/s{k}.xml.gz", article(str(k), title=titled(f"from {k}")))
+        stream_load(store, str(folder), str(tmp_path / f"checkpoint{k}")).awaitTermination(120)
+        want[str(k)] = (f"from {k}", f"updatefiles/s{k}.xml.gz")
+        if compacted:
+            store.compact()
+    assert versions(store) == want and store.ledger().count() == 2
+
+
+def test_finished_batch_is_not_written_again(spark, tmp_path, data):
+    store = new_store(spark, tmp_path)
+    records = read_records(spark, data, relative_to(data))
+    store.write_batch("b1", records)
+    store.write_batch("b1", records.where("false"))
     assert versions(store) == FINAL
 
 
+@pytest.mark.parametrize("how", ["batch", "stream"])
+def test_folders_with_odd_names(spark, tmp_path, data, how):
+    folder = str(tmp_path / "my data+100% é")
+    shutil.copytree(data, folder)
+    write_file(folder, "updatefiles/more of + it.xml.gz", article("8", title=titled("eight")))
+    with open(os.path.join(folder, "updatefiles", "index.html"), "w") as f:
+        f.write("<html></html>")
+    store = new_store(spark, tmp_path)
+    if how == "batch":
+        assert store.load(folder) == 7
+    else:
+        stream_load(store, folder, str(tmp_path / "checkpoint")).awaitTermination(120)
+    assert versions(store) == {**FINAL, "8": ("eight", "updatefiles/more of + it.xml.gz")}
+    counts = {r.fn: r.article_cnt for r in store.ledger().collect()}
+    assert {k: v for k, v in counts.items() if v} == {
+        **{k: v for k, v in COUNTS.items() if v}, "updatefiles/more of + it.xml.gz": 1}
+    assert store.load(folder) == (0 if how == "batch" else 1)  # a file without records
+
+
+def test_stream_skips_what_the_ledger_has(spark, tmp_path, data):
+    store = new_store(spark, tmp_path)
+    store.load(data)
+    before = store.ledger().count()
+    stream_load(store, data, str(tmp_path / "checkpoint")).awaitTermination(120)
+    assert versions(store) == FINAL and store.ledger().count() == before
+
+
 def test_uneven_files_are_spread(spark, tmp_path, data, monkeypatch):
     assert _spread([1 << 30], 8) == 64 and _spread([1 << 25] * 64, 8) is None
     assert _spread([1 << 20], 8) is None

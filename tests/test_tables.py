@@ -145,5 +145,5 @@ def test_progress_equals_numbering_every_record(spark):
 
 
 def test_change_order_is_total(rows):
-    assert CHANGE_ORDER == ("phase", "file", "block", "ord")
+    assert CHANGE_ORDER == ("phase", "file", "seq", "block", "ord")
     assert len({r[2:6] for r in rows}) == len(rows)
