@@ -65,14 +65,19 @@ def _ranked(rows: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
+def _keys(rows: DataFrame, order: Sequence[str]) -> list[str]:
+    """The order's columns. Rows of a single scan need no load number."""
+    return [c for c in order if c != "seq" or c in rows.columns]
+
+
 def latest(rows: DataFrame, key: str = "pmid", order: Sequence[str] = CHANGE_ORDER) -> DataFrame:
     """Last write per key wins, whatever order the writes arrived in."""
-    return _ranked(rows, key, [F.col(c).desc() for c in order])
+    return _ranked(rows, key, [F.col(c).desc() for c in _keys(rows, order)])
 
 
 def earliest(rows: DataFrame, key: str = "pmid", order: Sequence[str] = CHANGE_ORDER) -> DataFrame:
     """First write per key wins."""
-    return _ranked(rows, key, [F.col(c).asc() for c in order])
+    return _ranked(rows, key, [F.col(c).asc() for c in _keys(rows, order)])
 
 
 def upserts(rows: DataFrame) -> DataFrame:
@@ -94,7 +99,7 @@ def apply_deletes(rows: DataFrame) -> DataFrame:
 
 
 def _order(rows: DataFrame) -> Column:
-    return F.struct(*(rows[c] for c in CHANGE_ORDER))
+    return F.struct(*(rows[c] for c in _keys(rows, CHANGE_ORDER)))
 
 
 def merge_latest(snapshot: DataFrame, log: DataFrame) -> DataFrame:
@@ -104,11 +109,11 @@ def merge_latest(snapshot: DataFrame, log: DataFrame) -> DataFrame:
     statistics: it sends them to the snapshot if it finds them small and shuffles otherwise.
     """
     delta = latest_changes(log)
-    newest = delta.select("pmid", *CHANGE_ORDER)
+    newest = delta.select("pmid", *_keys(delta, CHANGE_ORDER))
     replaced = (snapshot["pmid"] == newest["pmid"]) & (_order(newest) >= _order(snapshot))
     kept = snapshot.join(newest, replaced, "left_anti")
 
-    known = snapshot.select("pmid", *CHANGE_ORDER)
+    known = snapshot.select("pmid", *_keys(snapshot, CHANGE_ORDER))
     known = known.join(newest.select("pmid"), "pmid", "left_semi")
     stale = (delta["pmid"] == known["pmid"]) & (_order(known) > _order(delta))
     return kept.unionByName(delta.join(known, stale, "left_anti"))
