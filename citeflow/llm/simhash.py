@@ -140,7 +140,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     marked = stored(fingerprints(tagged, "_text", ("_id", "_hash"), shingle), spark, "fingerprints")
     found = groups(marked, "_id").select("fp", "root")
     order = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_hash").alias("hash"))
-    best = marked.join(found, "fp").groupBy("root").agg(F.min(order).alias("best")).select(
+    # Copies are reduced to one row before the join, so no task gets a large group of them.
+    firsts = marked.groupBy("fp").agg(F.min(order).alias("best"))
+    best = firsts.join(found, "fp").groupBy("root").agg(F.min("best").alias("best")).select(
         F.col("best.id").alias("best_id"), F.col("best.hash").alias("best_hash")
     )
     rows = tagged.select("row", "_id", "_hash")
