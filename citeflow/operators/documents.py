@@ -148,6 +148,11 @@ def _doi(v: Column) -> Column:
     return F.when(_at(v, "BookDocument").isNull(), F.coalesce(own, first_cited)).otherwise("")
 
 
+def _own_doi(v: Column) -> Column:
+    own = _first_doi(_at(v, "PubmedData.ArticleIdList.ArticleId"))
+    return F.when(_at(v, "BookDocument").isNull(), own).otherwise("")
+
+
 def _names(v: Column, path: str) -> Column:
     return F.filter(_at(v, path), lambda n: n.isNotNull())
 
@@ -212,6 +217,7 @@ FIELDS = {
     "compounds": _Field(("MedlineCitation.ChemicalList",), _compounds),
     "mesh": _Field((_MESH_PATH, "MedlineCitation.ChemicalList"), _mesh),
     # Other projections of the same records.
+    "own_doi": _Field(("PubmedData.ArticleIdList",), _own_doi),
     "mesh_all": _Field((_MESH_PATH,), _mesh_all),
     "lead_title": _Field((f"{_ART}.ArticleTitle",), _article_title_lead),
     "abstract_html": _Field((f"{_ART}.Abstract",), _abstract_html),

@@ -14,6 +14,11 @@ def file_counts(records: DataFrame) -> DataFrame:
     return records.groupBy("phase", "file").agg(counted.alias("article_cnt"))
 
 
+def of_ledger(ledger: DataFrame) -> DataFrame:
+    """The ledger of a store as the table of file statistics that the functions below take."""
+    return ledger.select("phase", F.col("fn").alias("file"), "article_cnt", "duration", "elapsed")
+
+
 def nonempty_files(counts: DataFrame) -> DataFrame:
     return counts.where(F.col("article_cnt") > 0)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,13 +18,15 @@ LITERAL_IDS = 1000
 
 
 def changes(
-    records: DataFrame, fields: Sequence[str] = DOC_FIELDS, store_raw: bool = False, seq: int = 0
+    records: DataFrame, fields: Sequence[str] = DOC_FIELDS, store_raw: bool = False, seq: int = 0,
+    choose: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """All changes that a scan of records asks for, in one pass over them.
 
-    Articles and books become upserts, or quarantined rows if they cannot be loaded; delete
+    ``choose`` names another rule for a field: ``{"mesh": "mesh_all", "doi": "own_doi"}``. Articles and books become upserts, or quarantined rows if they cannot be loaded; delete
     blocks become one tombstone per id; unhandled kinds leave a row that says so.
     """
+    rules = {name: (choose or {}).get(name, name) for name in fields}
     v, kind, raw = F.col(PARSED), F.col("kind"), F.col("raw_xml")
     file, error = F.col("file"), F.col("error")
     loadable = kind.isin(ARTICLE, BOOK)
@@ -36,10 +38,10 @@ def changes(
     kept_raw = raw if store_raw else F.when(error.isNotNull(), raw)
     doc = F.struct(
         record_id(v).alias("pmid"),
-        *(field(v, name).alias(name) for name in fields),
+        *(field(v, rule).alias(name) for name, rule in rules.items()),
         file.alias("source_file"),
     )
-    judged = with_parsed(records, fields).select(
+    judged = with_parsed(records, tuple(rules.values())).select(
         "phase", "file", "block", "ord", "kind", "raw_xml", PARSED,
         F.when(loadable, record_error(kind, v)).alias("error"),
         F.explode(ids).alias("pmid"),
@@ -127,10 +129,15 @@ def remove_ids(table: DataFrame, ids: DataFrame, key: str = "pmid") -> DataFrame
 def insert_if_absent(
     target: DataFrame, batch: DataFrame, key: str = "pmid", order: Sequence[str] = CHANGE_ORDER
 ) -> DataFrame:
-    """Target plus the first row of each batch key the target does not hold."""
-    known = target.select(key).distinct()
-    fresh = earliest(batch, key, order).join(known, key, "left_anti")
-    return target.unionByName(fresh.select(*target.columns))
+    """Target, which holds one row per key, plus the first batch row of each key it does not hold.
+
+    One ranking of both together, the target's row first: each side is read once.
+    """
+    tagged = target.withColumn("_new", F.lit(1)).unionByName(
+        batch.select(*target.columns).withColumn("_new", F.lit(2))
+    )
+    first = [F.col(c).asc() for c in ("_new", *_keys(target, order))]
+    return _ranked(tagged, key, first).drop("_new")
 
 
 def lookup(table: DataFrame, ids: Sequence[str | int] | DataFrame, key: str = "pmid") -> DataFrame:

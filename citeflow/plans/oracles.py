@@ -145,6 +145,7 @@ _ORDER_QUERIES = {
     "medline_year": "SELECT pmid, medline_year FROM docs",
     "doc_journal": "SELECT pmid, journal_title, journal_iso_title FROM docs",
     "doc_doi": "SELECT pmid, doi FROM docs",
+    "doc_doi_own": "SELECT pmid, CASE o_orderkey % 5 WHEN 0 THEN '10.1/o' || o_orderkey END AS doi FROM docs",
     "doc_compounds": "SELECT pmid, compounds FROM docs",
     "doc_mesh": "SELECT pmid, mesh FROM docs",
     "doc_mesh_live": "SELECT pmid, mesh_all AS mesh FROM docs",
@@ -241,6 +242,16 @@ _REVISION_QUERIES = {
     "load_baseline": "SELECT pmid, title, file AS source_file FROM base",
     "load_updates": "SELECT pmid, title, file AS source_file FROM final",
     "stream_load": "SELECT pmid, title, file AS source_file FROM final",
+    "reopened_lookup": """SELECT pmid, title, file AS source_file FROM final
+        WHERE pmid IN (SELECT s_suppkey::VARCHAR FROM supplier)""",
+    "delete_stored": """SELECT pmid, title, file AS source_file FROM final
+        WHERE pmid NOT IN (SELECT s_suppkey::VARCHAR FROM supplier)""",
+    "reprocess_store": "SELECT pmid, title, file AS source_file FROM final",
+    "json_insert_if_absent": """SELECT pmid, title, file AS source_file FROM base UNION ALL
+        SELECT id::VARCHAR AS pmid, title, file FROM (SELECT *, row_number() OVER (PARTITION BY id
+          ORDER BY file, title) AS n FROM changes WHERE op = 'U' AND phase = 1)
+        WHERE n = 1 AND id::VARCHAR NOT IN (SELECT pmid FROM base)""",
+    "ledger_counts": "SELECT phase, file, article_cnt FROM counts",
 }
 ORACLES.update({name: _REVISIONS + sql for name, sql in _REVISION_QUERIES.items()})
 

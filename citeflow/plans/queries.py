@@ -310,6 +310,13 @@ def doc_doi(spark, sf_dir):
     return _docs(spark, sf_dir, corpora.articles, ("doi",)).select("pmid", "doi")
 
 
+@query
+def doc_doi_own(spark, sf_dir):
+    """DOIs of the records themselves, without those of cited works."""
+    docs = _docs(spark, sf_dir, corpora.articles, ("own_doi",))
+    return docs.select("pmid", F.col("own_doi").alias("doi"))
+
+
 @query
 def doc_compounds(spark, sf_dir):
     docs = _docs(spark, sf_dir, corpora.articles, ("compounds",))
@@ -494,3 +501,51 @@ def stream_load(spark, sf_dir):
     running = start_stream(store, data_dir, f"{root}/checkpoint", name=folder_name)
     running.awaitTermination()
     return _store_rows(store)
+
+
+# Changes of a stored table -------------------------------------------------------------------
+
+
+@query
+def reopened_lookup(spark, sf_dir):
+    """Suppliers' keys looked up in a store that was made with other buckets and opened again."""
+    root = new_dir(spark, "store")
+    store = CitationStore.create(spark, root, buckets=16)
+    store.load(corpus_dir(spark, sf_dir, corpora.revisions), name=folder_name)
+    store.compact()
+    found = CitationStore(spark, root).lookup(table(spark, sf_dir, "supplier").select("s_suppkey"))
+    return found.select("pmid", "title", "source_file")
+
+
+@query
+def delete_stored(spark, sf_dir):
+    """Suppliers' keys deleted from a compacted store."""
+    store = _loaded(spark, sf_dir, None)
+    store.compact()
+    store.delete(table(spark, sf_dir, "supplier").select("s_suppkey"))
+    return _store_rows(store)
+
+
+@query
+def reprocess_store(spark, sf_dir):
+    """Stored raw records parsed again, on top of a compacted store."""
+    store = CitationStore.create(spark, new_dir(spark, "store"))
+    store.load(corpus_dir(spark, sf_dir, corpora.revisions), name=folder_name, store_raw=True)
+    store.compact()
+    store.reprocess()
+    return _store_rows(store)
+
+
+@query
+def json_insert_if_absent(spark, sf_dir):
+    """Documents of the update files, by way of JSON, into a store of the baseline."""
+    store = _loaded(spark, sf_dir, 0)
+    updates = _revisions(spark, sf_dir).where(F.col("phase") == 1)
+    store.insert_absent(_json_round_trip(spark, documents(updates, DOC_FIELDS)))
+    return _store_rows(store)
+
+
+@query
+def ledger_counts(spark, sf_dir):
+    """Statistics of the files of a load, from its ledger; times are not compared."""
+    return _loaded(spark, sf_dir, None).file_stats().select("phase", "file", "article_cnt")

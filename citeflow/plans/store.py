@@ -5,7 +5,8 @@ Below ``root``:
 * ``settings``          one row: the number of hash buckets, fixed when the store is created;
 * ``changes/batch=B``   the changes of one load; only an unfinished batch is ever overwritten;
 * ``ledger/batch=B``    the files of that load; written last, so it is also what makes the
-  batch count: changes of a batch without ledger rows are not read;
+  batch count: changes of a batch without ledger rows are not read. Changes that come from no
+  file (deletes, inserts, reprocessing) have one row with an empty file name;
 * ``snapshots/snapshot=M``  latest change per id, hash-bucketed, with tombstones and ordering
   keys kept so that a late old file cannot bring back a deleted record;
 * ``pointers``          one row per finished snapshot, naming the batches it contains.
@@ -18,25 +19,27 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from citeflow.operators.ledger import ledger_current, ledger_rows, list_files, pending_files
 from citeflow.operators.tables import (
-    LITERAL_IDS, QUARANTINED, SKIPPED, UPSERT, changes, latest_changes, lookup,
+    QUARANTINED, SKIPPED, TOMBSTONE, UPSERT, changes, earliest, latest_changes, lookup,
     merge_latest, quarantined, upserts,
 )
-from citeflow.schema import CHANGE, LEDGER, SETTINGS
-from citeflow.sources.records import NameRule, read_records, relative_to
+from citeflow.operators.stats import of_ledger
+from citeflow.schema import ARTICLE, CHANGE, DELETE, DOC, LEDGER, SETTINGS
+from citeflow.sources.records import NameRule, phase_of, read_records, relative_to
 
 # Gzip bytes to a partition when records are spread: some hundred megabytes of XML.
 SPREAD_BYTES = 16 << 20
 
 _LOADED_AT = "loaded_at"
-_LEDGER_ROW = f"{LEDGER}, {_LOADED_AT} TIMESTAMP, seq BIGINT"
+_LEDGER_ROW = f"{LEDGER}, phase INT, elapsed DOUBLE, {_LOADED_AT} TIMESTAMP, seq BIGINT"
 # A session may ask for dynamic overwriting, which would keep what a reset must remove.
 _STATIC = {"partitionOverwriteMode": "static"}
 _POINTER = "snapshot BIGINT, batches ARRAY<STRING>"
@@ -114,12 +117,16 @@ class CitationStore:
     def reset_ledger(self) -> None:
         """Forget which files were processed, keeping the documents: a row without a file name
         voids the ledger rows before it."""
+        self._note(_new_batch("reset"), None, self._next_seq())
+
+    def _note(self, batch: str, fn: str | None, seq: int) -> None:
+        """A ledger row that belongs to no file."""
         row = self.spark.range(1).select(
-            F.lit(None).cast("STRING").alias("file_key"), F.lit(None).cast("STRING").alias("fn"),
+            F.lit(fn).cast("STRING").alias("file_key"), F.lit(fn).cast("STRING").alias("fn"),
             F.lit(0).cast("BIGINT").alias("article_cnt"), F.lit(0.0).alias("duration"),
-            F.current_timestamp().alias(_LOADED_AT), F.lit(self._next_seq()).cast("BIGINT").alias("seq"),
+            F.current_timestamp().alias(_LOADED_AT), F.lit(seq).cast("BIGINT").alias("seq"),
         )
-        row.coalesce(1).write.parquet(self._path("ledger", f"batch={_new_batch('reset')}"))
+        row.coalesce(1).write.parquet(self._path("ledger", f"batch={batch}"))
 
     def _ledger_log(self) -> DataFrame:
         return self.spark.read.schema(f"{_LEDGER_ROW}, batch STRING").parquet(self._path("ledger"))
@@ -128,11 +135,18 @@ class CitationStore:
         """Processed files: the last entry of each since the ledger was last reset."""
         log = self._ledger_log().drop("batch")
         void_to = log.where(F.col("fn").isNull()).agg(F.max("seq")).first()[0]
-        rows = log.where(F.col("fn").isNotNull())
+        rows = log.where(F.col("fn") != "")
         if void_to is not None:
             rows = rows.where(F.col("seq") > F.lit(void_to))
         return ledger_current(rows.drop(_LOADED_AT), "seq")
 
+    def file_stats(self) -> DataFrame:
+        """Counts and times of the processed files, for the functions of ``operators.stats``.
+
+        ``elapsed`` is the time of all loads since the last reset up to the file's own.
+        """
+        return of_ledger(self.ledger())
+
     def _next_seq(self) -> int:
         """Number of the next load: above all finished ones."""
         return (self._ledger_log().agg(F.max("seq")).first()[0] or 0) + 1
@@ -157,7 +171,14 @@ class CitationStore:
     def _bucket(self, pmid: Column) -> Column:
         return F.pmod(F.xxhash64(pmid), F.lit(self.buckets)).cast("int")
 
-    def _latest(self, ids: Sequence[str] | None = None) -> DataFrame:
+    def _buckets(self, ids: Sequence[str] | DataFrame) -> list[int]:
+        """Buckets of ids, however many those are: no more than the store has."""
+        if not isinstance(ids, DataFrame):
+            ids = self.spark.createDataFrame([(i,) for i in ids], "pmid STRING")
+        found = ids.select(self._bucket(F.col("pmid")).alias("bucket")).distinct()
+        return sorted(r.bucket for r in found.collect())
+
+    def _latest(self, ids: Sequence[str] | DataFrame | None = None) -> DataFrame:
         """Latest change per id, tombstones included."""
         number, included = self._pointer()
         newer = self._committed() - included
@@ -168,14 +189,13 @@ class CitationStore:
             return latest_changes(log)
         snapshot = self._snapshot(number)
         if ids is not None:
-            buckets = [self._bucket(F.lit(i)) for i in ids]
-            snapshot = lookup(snapshot.where(F.col("bucket").isin(buckets)), ids)
+            snapshot = lookup(snapshot.where(F.col("bucket").isin(self._buckets(ids))), ids)
         snapshot = snapshot.drop("bucket")
         if not newer:
             return snapshot
         return merge_latest(snapshot, log)
 
-    def _current(self, ids: Sequence[str] | None = None) -> DataFrame:
+    def _current(self, ids: Sequence[str] | DataFrame | None = None) -> DataFrame:
         return upserts(self._latest(ids))
 
     def documents(self) -> DataFrame:
@@ -188,12 +208,12 @@ class CitationStore:
         return rows.select("pmid", "file", "phase", "block", "ord", "kind", "raw_xml")
 
     def _select(self, ids: Sequence[str | int] | DataFrame) -> DataFrame:
-        if isinstance(ids, DataFrame) or len(ids) > LITERAL_IDS:
-            return lookup(self._current(), ids)
+        if isinstance(ids, DataFrame):
+            return self._current(ids.select(F.col(ids.columns[0]).cast("string").alias("pmid")))
         return self._current([str(i) for i in ids])
 
     def lookup(self, ids: Sequence[str | int] | DataFrame) -> DataFrame:
-        """Documents by id. A short list of ids reads its snapshot buckets only."""
+        """Documents by id; reads the snapshot buckets of the ids only."""
         return self._select(ids).select("doc.*")
 
     def lookup_raw(self, ids: Sequence[str | int] | DataFrame) -> DataFrame:
@@ -213,7 +233,7 @@ class CitationStore:
 
     def write_batch(
         self, batch: str, records: DataFrame, files: DataFrame | None = None,
-        store_raw: bool = False,
+        store_raw: bool = False, choose: Mapping[str, str] | None = None,
     ) -> None:
         """Write the changes of scanned records, then the ledger rows that commit them.
 
@@ -224,8 +244,9 @@ class CitationStore:
         if self._ledger_log().where(F.col("batch") == batch).take(1):
             return
         start, seq = time.monotonic(), self._next_seq()
+        spent = self.ledger().agg(F.max("elapsed")).first()[0] or 0.0
         path = self._path("changes", f"batch={batch}")
-        found = changes(records, store_raw=store_raw, seq=seq)
+        found = changes(records, store_raw=store_raw, seq=seq, choose=choose)
         found.write.options(**_STATIC).mode("overwrite").parquet(path)
         seconds = time.monotonic() - start
 
@@ -238,17 +259,20 @@ class CitationStore:
         total = counts.agg(F.sum("article_cnt")).first()[0]
         per_record = seconds / total if total else 0.0
         stats = counts.withColumn("duration", F.col("article_cnt") * F.lit(per_record))
-        rows = ledger_rows(stats).withColumn(_LOADED_AT, F.current_timestamp()).withColumn(
-            "seq", F.lit(seq).cast("bigint")
-        )
+        rows = ledger_rows(stats).withColumns({
+            "phase": phase_of(F.col("fn")), "elapsed": F.lit(spent + seconds),
+            _LOADED_AT: F.current_timestamp(), "seq": F.lit(seq).cast("bigint"),
+        })
         rows.coalesce(1).write.options(**_STATIC).mode("overwrite").parquet(self._path("ledger", f"batch={batch}"))
 
     def load(
         self, data_dir: str, phase: int | None = None, store_raw: bool = False,
-        name: NameRule | None = None,
+        name: NameRule | None = None, kind: str = ARTICLE, choose: Mapping[str, str] | None = None,
     ) -> int:
         """Load the files of a folder that are not in the ledger; returns how many there were.
 
+        ``kind`` is the commonest record of the files, ``choose`` other rules for fields as in
+        :func:`~citeflow.operators.tables.changes`.
         ``phase`` restricts the load to the baseline (0) or the updates (1). Both may run in one
         job and in any order: each change carries its place in the total order.
         """
@@ -262,10 +286,57 @@ class CitationStore:
             return 0
         files = self.spark.createDataFrame([(r.file,) for r in todo], "file STRING")
         spread = _spread([r.length for r in todo], self.spark.sparkContext.defaultParallelism)
-        records = read_records(self.spark, [r.path for r in todo], name, spread=spread)
-        self.write_batch(_new_batch("load"), records, files.distinct(), store_raw)
+        records = read_records(self.spark, [r.path for r in todo], name, kind, spread)
+        self.write_batch(_new_batch("load"), records, files.distinct(), store_raw, choose)
         return len(todo)
 
+    def _apply(self, what: str, found: DataFrame, seq: int) -> None:
+        """Write changes that come from no file, then the ledger row that commits them."""
+        batch = _new_batch(what)
+        found.write.parquet(self._path("changes", f"batch={batch}"))
+        self._note(batch, "", seq)
+
+    def delete(self, ids: Sequence[str | int] | DataFrame) -> None:
+        """Delete documents by id, until a later file or a reload of their own states them again."""
+        seq = self._next_seq()
+        gone = self._select(ids).select(
+            F.lit(TOMBSTONE).alias("op"), "pmid", "phase", "file",
+            F.lit(seq).cast("bigint").alias("seq"), "block", "ord", F.lit(DELETE).alias("kind"),
+        )
+        self._apply("delete", gone, seq)
+
+    def insert_absent(self, docs: DataFrame) -> None:
+        """Insert documents, such as those read from JSON, whose ids the store does not hold.
+
+        Of several documents with an id the first by source file, then title is taken; documents
+        without an id cannot be. Any file that states the id replaces it, whatever its name.
+        """
+        seq = self._next_seq()
+        shape = T.StructType.fromDDL(DOC)
+        doc = F.struct(*(
+            (F.col(f.name) if f.name in docs.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in shape
+        ))
+        rows = docs.where(F.col("pmid").isNotNull()).select(
+            "pmid", F.coalesce(doc["source_file"], F.lit("")).alias("source_file"),
+            doc["title"].alias("title"), F.xxhash64(F.to_json(doc)).alias("code"), doc.alias("doc"),
+        )
+        held = self._latest().select("pmid", F.col("op").alias("held"), "phase", "file")
+        fresh = earliest(rows, "pmid", ("source_file", "title", "code")).join(held, "pmid", "left")
+        found = fresh.where(F.coalesce(F.col("held") != UPSERT, F.lit(True))).select(
+            F.lit(UPSERT).alias("op"), "pmid",
+            # On top of the tombstone of a deleted id, else before all files.
+            F.coalesce("phase", F.lit(-1)).alias("phase"), F.coalesce("file", "source_file").alias("file"),
+            F.lit(seq).cast("bigint").alias("seq"), F.lit(0).cast("bigint").alias("block"),
+            F.lit(0).cast("bigint").alias("ord"), F.lit(ARTICLE).alias("kind"), "doc",
+        )
+        self._apply("insert", found, seq)
+
+    def reprocess(self, choose: Mapping[str, str] | None = None) -> None:
+        """Parse the stored raw records of all current documents again, without the files."""
+        seq = self._next_seq()
+        self._apply("reprocess", changes(self.raw(), store_raw=True, seq=seq, choose=choose), seq)
+
     def compact(self) -> None:
         """Fold all finished batches into a new snapshot; the pointer row makes it current."""
         number, included = self._pointer()

@@ -23,6 +23,7 @@ _ELEMENT = (
     r"(?:/>|>.*?</\1\s*>)"
 )
 _TAG = r"^<([\w.-]+)"
+_HANDLED_TAG = rf"<({'|'.join(HANDLED)})[\s>]"
 # Fixed value: how the raw text states a record's id.
 _VERSIONED_ID = r'<PMID Version="\d+">(\d+)</PMID'
 _BLOCK_ID = r"<PMID[^>]*>\s*([^<\s]+)\s*</PMID>"
@@ -84,17 +85,28 @@ def stream_chunks(
     return _located(reader.option("maxFilesPerTrigger", files_per_batch).text(path))
 
 
+def _elements(piece: Column) -> Column:
+    """Outermost elements of a piece of text in which no record begins but at its start."""
+    tag = F.regexp_extract(piece, f"^{_HANDLED_TAG}", 1)
+    unclosed = (tag != "") & ~F.contains(piece, F.concat(F.lit("</"), tag, F.lit(">")))
+    found = F.regexp_extract_all(piece, F.lit(_ELEMENT), F.lit(0))
+    return F.when(unclosed, F.array(piece)).otherwise(found)
+
+
 def split_records(chunks: DataFrame, name: NameRule, kind: str = ARTICLE) -> DataFrame:
     """One row per outermost element: file, phase, block, ord, kind, raw_xml.
 
+    A record ends where its end tag or the next record begins, so one without an end tag is a row
+    as it stands, which does not parse, and leaves the records after it alone.
     ``ord`` orders the records of one (file, block) and means nothing across them; ``block`` is
     the offset of the file split.
     """
     text = F.ltrim("value", F.lit(" \t\r\n"))
     whole = F.concat(text, F.lit(end_tag(kind)))
     # Most chunks are one record and nothing else; only the others need the search.
-    single = text.startswith(f"<{kind}>") & ~text.contains(f"</{kind}")
-    elements = F.regexp_extract_all(whole, F.lit(_ELEMENT), F.lit(0))
+    more = text.contains(f"</{kind}") | (F.locate(f"<{kind}", text, 2) > 0)
+    single = text.startswith(f"<{kind}>") & ~more
+    elements = F.flatten(F.transform(F.split(whole, f"(?={_HANDLED_TAG})"), _elements))
     records = chunks.select(
         "path", "block",
         F.explode(F.when(single, F.array(whole)).otherwise(elements)).alias("raw_xml"),

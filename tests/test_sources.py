@@ -2,6 +2,7 @@ import gzip
 import os
 
 from citeflow.operators.ledger import list_files, pending_files, queued_counts
+from citeflow.operators.documents import parse_records
 from citeflow.schema import BOOK
 from citeflow.sources.records import (
     deleted_ids, kind_counts, raw_split, read_records, relative_to, unhandled_kinds,
@@ -47,11 +48,24 @@ def test_files_without_the_separator(spark, tmp_path):
     assert {r.kind: r.records for r in kind_counts(scan(spark, tmp_path, kind=BOOK)).collect()} == counts
 
 
-def test_unclosed_record_spoils_only_itself_and_the_next(spark, tmp_path):
+def test_unclosed_record_spoils_only_itself(spark, tmp_path):
     open_record = article("2").replace("</PubmedArticle>", "")
     write_file(tmp_path, "baseline/a.xml.gz", article("1"), open_record, article("3"), article("4"))
     rows = raw_split(scan(spark, tmp_path)).collect()
-    assert [r.pmid for r in rows] == ["1", "2", "4"]
+    assert [r.pmid for r in rows] == ["1", "2", "3", "4"]
+    parsed = parse_records(scan(spark, tmp_path), ()).collect()
+    assert {r.pmid for r in parsed if not r.error} == {"1", "3", "4"}
+    assert [r.error for r in parsed if r.error] == ["malformed xml"]
+
+
+def test_unclosed_record_before_other_kinds(spark, tmp_path):
+    open_record, open_book = (r.rsplit("</", 1)[0] for r in (article("1"), book("2")))
+    write_file(tmp_path, "updatefiles/a.xml.gz", open_record, deletes("5"), open_book, book("3"), article("4"))
+    rows = scan(spark, tmp_path)
+    assert {r.kind: r.records for r in kind_counts(rows).collect()} == {
+        "PubmedArticle": 2, "PubmedBookArticle": 2, "DeleteCitation": 1,
+    }
+    assert {r.pmid for r in parse_records(rows, ()).where("error IS NULL").collect()} == {"3", "4"}
 
 
 def test_raw_split_needs_a_versioned_id(spark, tmp_path):

@@ -2,8 +2,11 @@ import os
 import shutil
 
 import pytest
+from pyspark.sql import functions as F
 
+from citeflow.operators import stats
 from citeflow.plans.store import CitationStore, _spread
+from citeflow.schema import BOOK
 from citeflow.sources.records import read_records, relative_to
 from citeflow.streaming.load import stream_load
 from tests.samples import article, book, deletes, titled, write_file
@@ -246,3 +249,93 @@ def test_stream_gives_the_same_view_in_any_order(spark, tmp_path, data, order):
     again.awaitTermination(120)
     assert sum(p.numInputRows > 0 for p in again.recentProgress) == 1
     assert set(versions(store)) == {"1", "2", "7"}
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_delete_by_id_and_state_again(spark, tmp_path, data, compacted):
+    store = new_store(spark, tmp_path)
+    store.load(data)
+    if compacted:
+        store.compact()
+    store.delete([2, "none"])
+    assert versions(store) == {"1": FINAL["1"]}
+    store.delete(spark.createDataFrame([(1,)], "id INT"))
+    assert versions(store) == {} and store.ledger().count() == 6 and store.load(data) == 0
+    if compacted:
+        store.compact()
+    write_file(data, "updatefiles/n9.xml.gz", article("2", title=titled("two at last")))
+    store.load(data)
+    assert versions(store) == {"2": ("two at last", "updatefiles/n9.xml.gz")}
+    store.reset_ledger()
+    store.load(data)
+    assert set(versions(store)) == {"1", "2"}
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_insert_absent_keeps_what_is_there(spark, tmp_path, data, compacted):
+    store = new_store(spark, tmp_path)
+    store.load(data)
+    if compacted:
+        store.compact()
+    docs = spark.createDataFrame(
+        [("1", "other", "b.json"), ("3", "back", "b.json"), ("30", "second", "b.json"),
+         ("30", "first", "a.json"), (None, "nobody", "a.json")], "pmid STRING, title STRING, source_file STRING")
+    store.insert_absent(docs)
+    store.insert_absent(docs.withColumn("title", F.lit("late")))
+    want = {**FINAL, "3": ("back", "b.json"), "30": ("first", "a.json")}
+    assert versions(store) == want
+    write_file(data, "baseline/a0.xml.gz", article("30", title=titled("from a file")))
+    store.load(data)
+    assert versions(store) == {**want, "30": ("from a file", "baseline/a0.xml.gz")}
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_reprocess_from_stored_raw_records(spark, tmp_path, compacted):
+    heading = '<MeshHeadingList><MeshHeading><DescriptorName UI="D1">h</DescriptorName></MeshHeading></MeshHeadingList>'
+    chemical = '<ChemicalList><Chemical><NameOfSubstance UI="D1">c</NameOfSubstance></Chemical></ChemicalList>'
+    folder = tmp_path / "data"
+    path = write_file(folder, "baseline/n1.xml.gz", article("1", chemicals=chemical, headings=heading), article("2"))
+    store = new_store(spark, tmp_path)
+    store.load(str(folder), store_raw=True)
+    if compacted:
+        store.compact()
+    os.remove(path)
+
+    def mesh():
+        return {r.pmid: [m.id for m in r.mesh] for r in store.documents().collect()}
+
+    assert mesh() == {"1": [], "2": []}
+    store.reprocess(choose={"mesh": "mesh_all"})
+    assert mesh() == {"1": ["MESH:D1"], "2": []}
+    store.reprocess()
+    assert mesh() == {"1": [], "2": []} and store.raw().count() == 2 and store.ledger().count() == 1
+
+
+def test_statistics_of_a_loaded_store(spark, tmp_path, data):
+    store = new_store(spark, tmp_path)
+    store.load(data, phase=0)
+    store.load(data)
+    rated = {r.file: r for r in stats.file_rates(store.file_stats(), 10).collect()}
+    assert {f: r.article_cnt for f, r in rated.items()} == COUNTS
+    assert {r.phase for f, r in rated.items() if f.startswith("baseline")} == {0}
+    assert rated["baseline/n1.xml.gz"].estimated_rate > rated["baseline/n1.xml.gz"].rate > 0
+    total = stats.total_rate(store.file_stats()).first()
+    spent = sum(r.duration for r in rated.values())
+    assert total.article_cnt == 10 and total.total_rate == pytest.approx(10 / spent)
+    marks = stats.progress_blocks(store.file_stats(), every=2).collect()
+    assert sorted((r.phase, r.records) for r in marks) == [(0, 2), (0, 4), (0, 6), (1, 2), (1, 4)]
+
+
+def test_lookup_of_a_table_reads_its_buckets_only(spark, tmp_path, data):
+    store = new_store(spark, tmp_path)
+    store.load(data)
+    store.compact()
+    plan = store.lookup(spark.createDataFrame([(1,)], "id INT"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "Window" not in plan
+
+
+def test_book_files_stream_by_their_own_end_tag(spark, tmp_path):
+    folder = tmp_path / "data"
+    write_file(folder, "baseline/b.xml.gz", *(book(str(k)) for k in range(20)), root="PubmedBookArticleSet")
+    store = new_store(spark, tmp_path)
+    assert store.load(str(folder), kind=BOOK) == 1 and store.documents().count() == 20
