@@ -21,6 +21,8 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -225,22 +227,37 @@ def _noted(automaton: ItemAutomaton, body, n_words, spans, items) -> tuple:
     return len(words), _spans(hit), sorted(found.union(items))
 
 
-def _cut(automaton: ItemAutomaton, body, n_words, n_hit) -> tuple:
-    """The text without hit words and what stands between them, until no window is left."""
+def _marked(automaton: ItemAutomaton, body, n_words, n_hit, spans) -> tuple:
+    """What this block finds in the unchanged text, added to what earlier blocks found."""
+    words = alnum_words(body)
+    hit, _ = automaton.matches(words)
+    for k in range(0, len(spans), 2):
+        hit[spans[k]:spans[k + 1]] = True
+    return max(n_words, len(words)), n_hit, _spans(hit)
+
+
+def _without(body: bytes, spans: list[int]) -> bytes:
+    """The text without the words of spans and what stands between them."""
+    places = [m.span() for m in re.finditer(rb"[^ ]+", alnum_blanked(body))]
+    pieces, at = [], 0
+    for k in range(0, len(spans), 2):
+        pieces.append(body[at:places[spans[k]][0]])
+        at = places[spans[k + 1] - 1][1]
+    return b"".join(pieces) + body[at:]
+
+
+def _cut_marked(_, body, n_words, n_hit, spans) -> tuple:
+    """The text without the spans of all blocks."""
+    return _without(body, spans), n_words, n_hit + sum(spans[1::2]) - sum(spans[::2]), []
+
+
+def _cut(automaton: ItemAutomaton, body, n_words, n_hit, spans) -> tuple:
+    """The text without hit words, until no window is left; for an automaton of all items."""
     while True:
-        words = alnum_words(body)
-        n_words = max(n_words, len(words))
-        hit, _ = automaton.matches(words)
-        if not hit.any():
-            return body, n_words, n_hit
-        n_hit += int(hit.sum())
-        spans = _spans(hit)
-        places = [m.span() for m in re.finditer(rb"[^ ]+", alnum_blanked(body))]
-        pieces, at = [], 0
-        for k in range(0, len(spans), 2):
-            pieces.append(body[at:places[spans[k]][0]])
-            at = places[spans[k + 1] - 1][1]
-        body = b"".join(pieces) + body[at:]
+        n_words, n_hit, spans = _marked(automaton, body, n_words, n_hit, [])
+        if not spans:
+            return body, n_words, n_hit, spans
+        body, n_words, n_hit, spans = _cut_marked(None, body, n_words, n_hit, spans)
 
 
 def _ahead(values: Iterator) -> Iterator[tuple]:
@@ -252,38 +269,42 @@ def _ahead(values: Iterator) -> Iterator[tuple]:
         held = following
 
 
-def _passes(docs: DataFrame, benchmark: DataFrame, text: str, added: dict, visit, item_id: str,
-            item_text: str, block_words: int) -> DataFrame:
-    """``row`` (the input row), ``body`` and what ``visit`` makes of the columns ``added``.
-
-    One pass of all rows for each block; between passes the rows are stored.
-    """
-    spark = docs.sparkSession
-    state = docs.select(
+def _begun(docs: DataFrame, text: str, added: dict) -> DataFrame:
+    """``row`` (the input row), ``body`` and the columns ``added``."""
+    return docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
         F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("body"),
         *(start.alias(name) for name, start in added.items()),
     )
+
+
+def _visited(state: DataFrame, automaton: ItemAutomaton | None, visit) -> DataFrame:
+    """What ``visit`` makes of each row; the text stays as it is if it returns none."""
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in state.schema])
-    for automaton, more in _ahead(item_blocks(benchmark, item_id, item_text, block_words)):
-        shared = spark.sparkContext.broadcast(automaton)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            automaton = shared.value
-            for batch in batches:
-                columns = [c.to_pylist() for c in batch.columns[1:]]
-                made = list(zip(*(visit(automaton, *values) for values in zip(*columns))))
-                if len(made) < len(columns):  # the text stays as it is
-                    made = [columns[0], *made]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), *(
-                        pa.array(m, f.type) for m, f in zip(made, list(batch.schema)[1:])
-                    )], names=batch.schema.names,
-                )
-
-        state = state.mapInArrow(run, schema)
+    shared = state.sparkSession.sparkContext.broadcast(automaton)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = shared.value
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns[1:]]
+            made = list(zip(*(visit(automaton, *values) for values in zip(*columns))))
+            if len(made) < len(columns):  # the text stays as it is
+                made = [columns[0], *made]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(
+                    pa.array(m, f.type) for m, f in zip(made, list(batch.schema)[1:])
+                )], names=batch.schema.names,
+            )
+
+    return state.mapInArrow(run, schema)
+
+
+def _passes(state: DataFrame, blocks: Iterator[tuple], visit) -> DataFrame:
+    """One pass of all rows for each block; between passes the rows are stored."""
+    for automaton, more in blocks:
+        state = _visited(state, automaton, visit)
         if more:
-            state = stored(state, spark, "scanned")
+            state = stored(state, state.sparkSession, "scanned")
     return state
 
 
@@ -294,7 +315,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str
         "n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<int>"),
         "items": F.array().cast("array<string>"),
     }
-    return _passes(docs, benchmark, text, added, _noted, item_id, item_text, block_words).drop("body")
+    blocks = _ahead(item_blocks(benchmark, item_id, item_text, block_words))
+    return _passes(_begun(docs, text, added), blocks, _noted).drop("body")
 
 
 def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -312,6 +334,26 @@ def report(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text:
     )
 
 
+def _cut_all(state: DataFrame, blocks) -> DataFrame:
+    """Rows without windows of any block, however items are dealt to blocks.
+
+    Spans of all blocks are collected on the unchanged text and cut at once; changed rows pass all
+    blocks again until nothing is hit. A single block does that within its tasks.
+    """
+    spark, done = state.sparkSession, []
+    first, more = next(dealt := blocks())
+    if not more:
+        return _visited(state, first, _cut)
+    while True:
+        found = stored(_passes(state, chain([(first, True)], dealt), _marked), spark, "marked")
+        done.append(found.where(F.size("spans") == 0))
+        changed = found.where(F.size("spans") > 0)
+        if changed.isEmpty():
+            return reduce(DataFrame.union, done)
+        state = _visited(changed, None, _cut_marked)
+        first, _ = next(dealt := blocks())
+
+
 def cleaned(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id",
             item_text: str = "text", max_coverage: float = MAX_COVERAGE,
             block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -321,8 +363,10 @@ def cleaned(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
     A document of which more than ``max_coverage`` is hit is dropped. ``n_chars``, if there is
     such a column, follows the new text. Texts without hits are returned as they were.
     """
-    added = {"n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long")}
-    found = _passes(docs, benchmark, text, added, _cut, item_id, item_text, block_words)
+    added = {
+        "n_words": F.lit(0).cast("long"), "n_hit": F.lit(0).cast("long"), "spans": F.array().cast("array<int>"),
+    }
+    found = _cut_all(_begun(docs, text, added), lambda: _ahead(item_blocks(benchmark, item_id, item_text, block_words)))
     kept = found.where(F.col("n_hit") <= max_coverage * F.col("n_words"))
     new = F.when(F.col("n_hit") > 0, F.decode("body", "UTF-8")).otherwise(F.col(f"row.`{text}`"))
     out = []

@@ -81,3 +81,26 @@ def test_cleaned(spark, odd_docs, no_docs):
     assert same.columns == odd_docs.columns and sorted(map(repr, same.collect())) == sorted(map(repr, odd_docs.collect()))
     assert dec.cleaned(no_docs, items_table(spark, [])).count() == 0
     assert dec.report(no_docs, items_table(spark, ITEMS)).count() == 0
+
+
+def test_cleaned_is_the_same_in_any_blocks(spark):
+    w = [f"w{k}" for k in range(1, 61)]
+    items = items_table(spark, [
+        (1, " ".join(w[:15]), ""), (2, " ".join(w[5:24]), ""), (3, " ".join(w[30:42]), ""),
+        (4, " ".join(w[44:50] + w[55:60]), ""), (5, " ".join(w[48:56]), ""),
+    ])
+    other = [f"x{k}" for k in range(16)]
+    docs = spark.createDataFrame([
+        (1, " ".join(w[:24] + other)),  # 24 of 40 words: dropped
+        (2, " ".join(w[:24] + other * 3)), (3, " ".join(other)), (4, None),
+        (5, " ".join(other * 3 + w[30:36] + w[:24] + w[36:42] + ["end"])),  # a cut closes a gap
+        (6, " ".join(other * 4 + w[44:48] + w[48:56] + w[48:50] + w[55:60])),
+    ], "doc_id BIGINT, text STRING")
+    whole, many = (
+        sorted(map(tuple, dec.cleaned(docs, items, block_words=n).collect()))
+        for n in (dec.BLOCK_WORDS, 8)
+    )
+    assert whole == many
+    by = dict(whole)
+    assert 1 not in by and by[2].split() == other * 3 and by[5].split() == [*other * 3, "end"]
+    assert by[3].split() == other and by[4] is None
