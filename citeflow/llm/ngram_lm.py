@@ -2,7 +2,7 @@
 
 Level 1 holds the words of the training texts, sorted by a 63-bit hash (distinct words never share
 one: the build checks and takes another seed if they do). Level k + 1 holds the n-grams of k + 1
-tokens that were seen at least ``MIN_COUNT`` times: per entry of level k, its context, a range of
+tokens that were seen at least ``min_count`` times, 1 for the whole counts: per entry of level k, its context, a range of
 successors. Where a range begins is a monotone sequence of pointers; successors are made monotone
 by adding the last value of the range before, and both are Elias-Fano coded. A look-up takes the
 context's range and its base, and searches the successor of base plus word in that range.
@@ -78,9 +78,9 @@ class Trie:
     left-over weights of its entries by their number."""
 
     def __init__(self, seed: int, levels: list[list[Shard]], weights: list[dict[int, str]], tokens: int,
-                 hash_bits: int = HASH_BITS, weight_bits: int = WEIGHT_BITS):
+                 hash_bits: int = HASH_BITS, weight_bits: int = WEIGHT_BITS, min_count: int = MIN_COUNT):
         self.seed, self.levels, self.weights, self.tokens = seed, levels, weights, tokens
-        self.hash_bits, self.weight_bits = hash_bits, weight_bits
+        self.hash_bits, self.weight_bits, self.min_count = hash_bits, weight_bits, min_count
         self.words = sum(s.n for s in levels[0])
         self.unit = 1 / (tokens + self.words + 1)  # of a token never seen
         self._open: dict[str, object] = {}
@@ -265,12 +265,12 @@ def _entries(trie: Trie, tokens: Tokens, levels: int) -> list[np.ndarray]:
 
 
 def _extensible(trie: Trie, tokens: Tokens, found: list[np.ndarray]) -> np.ndarray:
-    """Tokens after a stored context whose own shorter n-gram is stored: others were not seen twice."""
+    """Tokens after a stored context whose own shorter n-gram is stored: others were not seen often enough."""
     ok = (found[-1][1:] >= 0) & (found[-1][:-1] >= 0) & (tokens.text[1:] == tokens.text[:-1])
     at = np.flatnonzero(ok) + 1
-    if len(found) == 1 and len(at):
+    if len(found) == 1 and len(at) and trie.min_count > 1:
         often = _counts(trie, tokens.ids)
-        at = at[(often[at] >= MIN_COUNT) & (often[at - 1] >= MIN_COUNT)]
+        at = at[(often[at] >= trie.min_count) & (often[at - 1] >= trie.min_count)]
     return at
 
 
@@ -328,7 +328,7 @@ def _write_words(counted: DataFrame, folder: str) -> DataFrame:
 
 
 def _ngram_counts(coded: DataFrame, shared, level: int) -> DataFrame:
-    """From one column of coded texts, ``parent, word, c`` of the n-grams of ``level`` tokens seen at least ``MIN_COUNT`` times."""
+    """From one column of coded texts, ``parent, word, c`` of the n-grams of ``level`` tokens seen at least ``min_count`` times."""
     kinds, size = "parent BIGINT, word BIGINT, c BIGINT", CHUNK_TOKENS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,7 +342,7 @@ def _ngram_counts(coded: DataFrame, shared, level: int) -> DataFrame:
                 yield _batch((parents, words, np.bincount(back.ravel())), kinds)
 
     counted = coded.mapInArrow(run, kinds).groupBy("parent", "word").agg(F.sum("c").alias("c"))
-    return counted.where(F.col("c") >= MIN_COUNT)
+    return counted.where(F.col("c") >= shared.value.min_count)
 
 
 def _write_weights(counted: DataFrame, shared, level: int, folder: str) -> DataFrame:
@@ -415,7 +415,7 @@ def _shards(table: DataFrame) -> list[Shard]:
 
 
 def build(rows: DataFrame, order: int = ORDER, hash_bits: int = HASH_BITS,
-          weight_bits: int = WEIGHT_BITS) -> tuple[Trie, DataFrame]:
+          weight_bits: int = WEIGHT_BITS, min_count: int = MIN_COUNT) -> tuple[Trie, DataFrame]:
     """The model of the rows that are ``learned``, from their binary ``body``, and all rows coded.
 
     The model's files and the coded rows (``ids`` in place of ``body``) are in the shared folder.
@@ -431,7 +431,7 @@ def build(rows: DataFrame, order: int = ORDER, hash_bits: int = HASH_BITS,
         counted = stored(_word_counts(texts, seed, hash_bits), spark, "words")
         table = stored(_write_words(counted, folder), spark, "lmshards")
         tokens, clashes = table.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("clashes"), F.lit(0))).first()
-    trie = Trie(seed, [_shards(table)], [], tokens, hash_bits, weight_bits)
+    trie = Trie(seed, [_shards(table)], [], tokens, hash_bits, weight_bits, min_count)
     if trie.words >= 1 << 31:
         raise ValueError("words are numbered with 31 bits")
     coded = stored(_encode(rows, _shared(spark, trie)), spark, "coded")
@@ -440,9 +440,9 @@ def build(rows: DataFrame, order: int = ORDER, hash_bits: int = HASH_BITS,
         counted = stored(_ngram_counts(learned, _shared(spark, trie), level), spark, "ngrams")
         files = stored(_write_weights(counted, _shared(spark, trie), level - 1, folder), spark, "lmweights")
         weights = [*trie.weights, {r.part: r.path for r in files.collect()}]
-        trie = Trie(seed, trie.levels, weights, tokens, hash_bits, weight_bits)
+        trie = Trie(seed, trie.levels, weights, tokens, hash_bits, weight_bits, min_count)
         table = stored(_write_level(counted, _shared(spark, trie), level, folder), spark, "lmshards")
-        trie = Trie(seed, [*trie.levels, _shards(table)], weights, tokens, hash_bits, weight_bits)
+        trie = Trie(seed, [*trie.levels, _shards(table)], weights, tokens, hash_bits, weight_bits, min_count)
     return trie, coded
 
 

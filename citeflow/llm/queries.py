@@ -87,4 +87,4 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_lm.score(_read(spark, sf_dir, "documents"))
+    return ngram_lm.score(_read(spark, sf_dir, "documents"), min_count=1)

@@ -112,3 +112,27 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert lm.score(no_docs).count() == 0
     unlearned = spark.createDataFrame([(None, "a b"), (None, None)], "doc_id BIGINT, text STRING")
     assert sorted(r.n_tokens for r in lm.score(unlearned).collect()) == [1, 3]
+
+
+class Whole(Brute):
+    """The model of all n-grams, those seen once included."""
+
+    def __init__(self, texts):
+        super().__init__(texts)
+        self.left = defaultdict(lambda: 1.0)
+        for k in (1, 2):
+            for gram, c in self.counts[k].items():
+                self.left[gram[:-1]] -= (c - lm.DISCOUNT) / self.counts[k - 1][gram[:-1]]
+
+    def p(self, context, word):
+        if not context:
+            return super().p(context, word)
+        c = self.counts[len(context)][(*context, word)]
+        own = (c - lm.DISCOUNT) / self.counts[len(context) - 1][context] if c else 0
+        return own + self.left[context] * self.p(context[1:], word)
+
+
+def test_query_keeps_ngrams_seen_once(spark, tables, monkeypatch):
+    monkeypatch.setitem(globals(), "Brute", Whole)
+    rows = [(r.doc_id, r.text) for r in tables("documents").collect()]
+    compare(QUERIES["op10_ngram_scores"](spark, "/root/testdata/sf0.001").collect(), rows)
