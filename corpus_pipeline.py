@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citeflow.llm import decontaminate, mixture, near_jaccard, quality_rules, token_files
+from citeflow.llm import decontaminate, mixture, quality_rules, simhash, token_files
 from citeflow.llm.queries import TOKENIZER
 from citeflow.plans.workspace import new_dir
 
@@ -20,8 +20,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: that with the smallest id."""
-    return near_jaccard.keep_one(docs)
+    """One document of each SimHash group: that with the smallest id.
+
+    Operator 9 with its contract's figures: three-word shingles, at most three of 64 bits apart.
+    """
+    return simhash.keep_one(docs, shingle=simhash.SHINGLE)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
