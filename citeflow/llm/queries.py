@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from citeflow.llm import (
-    decontaminate, license_scan, mixture, ngram_lm, quality_classifier, quality_rules, secret_scan,
-    simhash, token_files, warc,
+    decontaminate, license_scan, mixture, ngram_lm, quality_classifier, quality_rules, resample,
+    secret_scan, simhash, token_files, warc,
 )
 from citeflow.plans.workspace import new_dir
 
@@ -88,3 +88,9 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score(_read(spark, sf_dir, "documents"), min_count=1)
+
+
+@query
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")
+    return resample.resample(docs, benchmark).select("doc_id", "n_features", "weight", "score", "rank")
