@@ -190,3 +190,45 @@ ORACLES = {
     "op5_warc_archives": OP5,
     "op7_mix_sources": OP7,
 }
+
+
+OP11 = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+g AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, m
+  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p), (VALUES (1), (2), (3)) AS t(m)
+  WHERE i + m - 1 <= len(w)
+),
+f AS (SELECT lang, phrase, m, count(*)::HUGEINT AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m >= 2 AND f >= 10),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, k, fl.f AS l, fr.f AS r, (c.a * c.a * 1000000) // (fl.f * fr.f) AS score
+  FROM c, (VALUES (1), (2)) AS t(k), f fl, f fr
+  WHERE k < c.m AND fl.lang = c.lang AND fl.phrase = array_to_string(c.w[1:k], ' ')
+    AND fr.lang = c.lang AND fr.phrase = array_to_string(c.w[k + 1:], ' ')
+),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (
+  SELECT lang, array_to_string(w[1:2], ' ') AS part, a FROM c WHERE m = 3
+  UNION ALL SELECT lang, array_to_string(w[2:3], ' ') AS part, a FROM c WHERE m = 3
+),
+kept AS (
+  SELECT * FROM best b
+  WHERE NOT EXISTS (SELECT 1 FROM held h WHERE h.lang = b.lang AND h.part = b.phrase AND 100 * h.a >= 50 * b.a)
+),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+    phrase, a, l, r, score FROM kept
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES["op11_collocations"] = OP11

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from citeflow.llm import (
-    decontaminate, license_scan, mixture, ngram_lm, quality_classifier, quality_rules, resample,
+    collocations, decontaminate, license_scan, mixture, ngram_lm, quality_classifier, quality_rules, repeats,
+    resample,
     secret_scan, simhash, token_files, warc,
 )
 from citeflow.plans.workspace import new_dir
@@ -94,3 +95,15 @@ def op10_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")
     return resample.resample(docs, benchmark).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_read(spark, sf_dir, "documents")).select(
+        "lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@query
+def op12_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.dedup(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

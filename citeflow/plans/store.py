@@ -22,7 +22,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,7 +33,7 @@ from citeflow.operators.tables import (
 )
 from citeflow.operators.stats import of_ledger
 from citeflow.schema import ARTICLE, CHANGE, DELETE, DOC, LEDGER, SETTINGS
-from citeflow.sources.records import NameRule, phase_of, read_records, relative_to
+from citeflow.sources.records import NameRule, damaged, phase_of, read_checked, relative_to
 
 # Gzip bytes to a partition when records are spread: some hundred megabytes of XML.
 SPREAD_BYTES = 16 << 20
@@ -164,9 +164,30 @@ class CitationStore:
         path = self._path("snapshots", f"snapshot={number}")
         return self.spark.read.schema(f"{CHANGE}, bucket INT").parquet(path)
 
+    def _damaged(self) -> DataFrame:
+        """``file, batch`` of files that ended too early, as the loads that read them found."""
+        try:
+            return self.spark.read.schema("file STRING, batch STRING").parquet(self._path("damaged"))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], "file STRING, batch STRING")
+
     def _log(self, batches: set[str]) -> DataFrame:
+        """Changes of the batches, without those of damaged files (few: one row each)."""
         rows = self.spark.read.schema(f"{CHANGE}, batch STRING").parquet(self._path("changes"))
-        return rows.where(F.col("batch").isin(sorted(batches)))
+        rows = rows.where(F.col("batch").isin(sorted(batches)))
+        bad = [(r.batch, r.file) for r in self._damaged().collect()]
+        if bad:
+            pair = F.struct(F.col("batch"), F.col("file"))
+            rows = rows.where(~pair.isin([F.struct(F.lit(b), F.lit(f)) for b, f in bad]))
+        return rows
+
+    def bad_files(self) -> DataFrame:
+        """``file, batch``: damaged files that no load has taken whole since, with the last batch
+        that found them so. A batch of damaged files alone writes no ledger row, but says so here."""
+        found = self._damaged().groupBy("file").agg(F.max("batch").alias("batch"))
+        return found.join(self.ledger().select(F.col("fn").alias("file")), "file", "left_anti")
 
     def _bucket(self, pmid: Column) -> Column:
         return F.pmod(F.xxhash64(pmid), F.lit(self.buckets)).cast("int")
@@ -233,13 +254,16 @@ class CitationStore:
 
     def write_batch(
         self, batch: str, records: DataFrame, files: DataFrame | None = None,
-        store_raw: bool = False, choose: Mapping[str, str] | None = None,
+        store_raw: bool = False, choose: Mapping[str, str] | None = None, seen: Observation | None = None,
     ) -> None:
         """Write the changes of scanned records, then the ledger rows that commit them.
 
         ``files`` lists files that belong in the ledger even if they hold no record. Spark times
         the batch, not its files: a file's duration is its share of the batch, by records. A batch
         that is already finished is left as it is: a stream may offer one again after a failure.
+        ``seen`` observes the scan (:func:`~citeflow.sources.records.read_checked`): files that it
+        finds damaged get no ledger row, so a later load takes them again, and their changes never
+        count.
         """
         if self._ledger_log().where(F.col("batch") == batch).take(1):
             return
@@ -249,12 +273,17 @@ class CitationStore:
         found = changes(records, store_raw=store_raw, seq=seq, choose=choose)
         found.write.options(**_STATIC).mode("overwrite").parquet(path)
         seconds = time.monotonic() - start
+        bad = damaged(seen) if seen is not None else []
+        if bad:
+            self.spark.createDataFrame([(f,) for f in bad], "file STRING").coalesce(1).write.mode("overwrite") \
+                .parquet(self._path("damaged", f"batch={batch}"))
 
         written = self.spark.read.schema(CHANGE).parquet(path)
         articles = F.count_if(F.col("op").isin(UPSERT, QUARANTINED))
         counts = written.groupBy("file").agg(articles.alias("article_cnt"))
         if files is not None:
             counts = files.select("file").join(counts, "file", "left")
+        counts = counts.where(~F.col("file").isin(bad))
         counts = counts.select("file", F.coalesce("article_cnt", F.lit(0)).alias("article_cnt"))
         total = counts.agg(F.sum("article_cnt")).first()[0]
         per_record = seconds / total if total else 0.0
@@ -286,8 +315,8 @@ class CitationStore:
             return 0
         files = self.spark.createDataFrame([(r.file,) for r in todo], "file STRING")
         spread = _spread([r.length for r in todo], self.spark.sparkContext.defaultParallelism)
-        records = read_records(self.spark, [r.path for r in todo], name, kind, spread)
-        self.write_batch(_new_batch("load"), records, files.distinct(), store_raw, choose)
+        records, seen = read_checked(self.spark, [r.path for r in todo], name, kind, spread)
+        self.write_batch(_new_batch("load"), records, files.distinct(), store_raw, choose, seen)
         return len(todo)
 
     def _apply(self, what: str, found: DataFrame, seq: int) -> None:

@@ -12,7 +12,7 @@ import os
 import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from citeflow.schema import ARTICLE, DELETE, HANDLED
@@ -58,8 +58,41 @@ def phase_of(file: Column) -> Column:
     return F.when(file.startswith("baseline/"), 0).otherwise(1)
 
 
+# The root elements of record files.
+ROOTS = ("PubmedArticleSet", "PubmedBookArticleSet")
+
+
 def _options(separator: str) -> dict[str, str]:
-    return {"lineSep": separator, "recursiveFileLookup": "true"}
+    # A damaged file (a cut gzip stream) gives what could be read; `observed` tells it apart.
+    return {"lineSep": separator, "recursiveFileLookup": "true", "ignoreCorruptFiles": "true"}
+
+
+def observed(chunks: DataFrame, name: NameRule) -> tuple[DataFrame, Observation]:
+    """The chunks, and what the job that reads them finds: files whose root opens and closes.
+
+    The names are gathered while the chunks are read for any other purpose; no second pass.
+    """
+    file = name(F.col("path"))
+    opens = F.lit(False)
+    closes = F.lit(False)
+    for root in ROOTS:
+        opens = opens | F.contains("value", F.lit(f"<{root}"))
+        closes = closes | F.contains("value", F.lit(f"</{root}"))
+    seen = Observation()
+    marked = chunks.observe(
+        seen, F.collect_set(F.when(opens, file)).alias("opened"),
+        F.collect_set(F.when(closes, file)).alias("closed"),
+    )
+    return marked, seen
+
+
+def damaged(seen: Observation) -> list[str]:
+    """Files whose root element opens and never closes: the file ends too early.
+
+    A file without a root element cannot be judged and is taken as it is.
+    """
+    found = seen.get
+    return sorted(set(found["opened"] or []) - set(found["closed"] or []))
 
 
 def _located(chunks: DataFrame) -> DataFrame:
@@ -131,10 +164,22 @@ def read_records(
     One task reads a gzip file, however large. ``spread`` shuffles the cut records over that
     many partitions, so that few or uneven files do not leave the parsing to a few tasks.
     """
-    records = split_records(read_chunks(spark, paths, kind), name, kind)
+    return _spread_records(split_records(read_chunks(spark, paths, kind), name, kind), spread)
+
+
+def _spread_records(records: DataFrame, spread: int | None) -> DataFrame:
     return records.repartition(spread, "file", "block", "ord") if spread else records
 
 
+def read_checked(
+    spark: SparkSession, paths: str | list[str], name: NameRule, kind: str = ARTICLE,
+    spread: int | None = None,
+) -> tuple[DataFrame, Observation]:
+    """As :func:`read_records`, with the observation that :func:`damaged` reads after a job."""
+    chunks, seen = observed(read_chunks(spark, paths, kind), name)
+    return _spread_records(split_records(chunks, name, kind), spread), seen
+
+
 def versioned_id(raw_xml: Column) -> Column:
     """Record id straight from the raw text, without parsing; NULL if there is none."""
     return F.nullif(F.regexp_extract(raw_xml, _VERSIONED_ID, 1), F.lit(""))

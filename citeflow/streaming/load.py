@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from citeflow.plans.store import CitationStore
 from citeflow.schema import ARTICLE
-from citeflow.sources.records import NameRule, relative_to, split_records, stream_chunks
+from citeflow.sources.records import NameRule, observed, relative_to, split_records, stream_chunks
 
 
 def stream_load(
@@ -25,7 +25,8 @@ def stream_load(
     keeps in its checkpoint, so streams never share a name; a batch that is retried after it was
     finished is skipped. Files that are in the ledger already are left out, as in a batch load.
     ``files_per_batch`` should give every executor core a file; ``kind`` and ``choose`` are as in
-    a batch load.
+    a batch load. A damaged file does not stop the stream: its neighbours load, it gets no ledger
+    row, and a batch load takes it once it is repaired (the stream has seen its name).
     """
     rule = name or relative_to(data_dir)
     chunks = stream_chunks(store.spark, data_dir, files_per_batch, kind)
@@ -34,8 +35,9 @@ def stream_load(
         kept = store.spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first().value
         name = f"stream-{stream}-{json.loads(kept)['id']}-{epoch:09d}"
         done = store.ledger().select(F.col("fn").alias("file"))
-        records = split_records(batch, rule, kind).join(done, "file", "left_anti")
-        store.write_batch(name, records, store_raw=store_raw, choose=choose)
+        chunks, seen = observed(batch, rule)
+        records = split_records(chunks, rule, kind).join(done, "file", "left_anti")
+        store.write_batch(name, records, store_raw=store_raw, choose=choose, seen=seen)
 
     writer = chunks.writeStream.foreachBatch(write).queryName(f"load-{stream}")
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
