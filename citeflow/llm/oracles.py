@@ -202,17 +202,19 @@ WITH d AS (
 p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
 g AS (
   SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, m
-  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p), (VALUES (1), (2), (3)) AS t(m)
-  WHERE i + m - 1 <= len(w)
+  FROM (SELECT lang, w, i, unnest(range(1, least(3, len(w) - i + 1) + 1)) AS m
+        FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p))
 ),
 f AS (SELECT lang, phrase, m, count(*)::HUGEINT AS f FROM g GROUP BY ALL),
 n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
 c AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m >= 2 AND f >= 10),
+halves AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp
+  FROM (SELECT c.*, unnest(range(1, m)) AS k FROM c)
+),
 cuts AS (
-  SELECT c.lang, c.phrase, c.a, k, fl.f AS l, fr.f AS r, (c.a * c.a * 1000000) // (fl.f * fr.f) AS score
-  FROM c, (VALUES (1), (2)) AS t(k), f fl, f fr
-  WHERE k < c.m AND fl.lang = c.lang AND fl.phrase = array_to_string(c.w[1:k], ' ')
-    AND fr.lang = c.lang AND fr.phrase = array_to_string(c.w[k + 1:], ' ')
+  SELECT h.lang, h.phrase, h.a, h.k, fl.f AS l, fr.f AS r, (h.a * h.a * 1000000) // (fl.f * fr.f) AS score
+  FROM halves h JOIN f fl ON fl.lang = h.lang AND fl.phrase = h.lp JOIN f fr ON fr.lang = h.lang AND fr.phrase = h.rp
 ),
 best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 held AS (
