@@ -39,14 +39,33 @@ class Placed(NamedTuple):
     order: tuple[str, ...]
 
 
-def _write(placed: Placed, path: str) -> None:
-    ordered = placed.rows.repartition("folder", "file").sortWithinPartitions(
-        "folder", "file", *placed.order
+# How a record file begins and ends when it has a root element.
+_HEAD = '<?xml version="1.0" encoding="utf-8"?>\n<!DOCTYPE PubmedArticleSet>\n<PubmedArticleSet>'
+_TAIL = "</PubmedArticleSet>"
+
+
+def _write(placed: Placed, path: str, root: bool = False) -> None:
+    rows = placed.rows.select("folder", "file", "xml", *placed.order, F.lit(1).alias("_part"))
+    if root:
+        files = placed.rows.select("folder", "file").distinct()
+        ends = [files.select("folder", "file", F.lit(text).alias("xml"),
+                             *(F.lit(None).alias(c) for c in placed.order), F.lit(part).alias("_part"))
+                for text, part in ((_HEAD, 0), (_TAIL, 2))]
+        rows = rows.unionByName(ends[0]).unionByName(ends[1], allowMissingColumns=False)
+    ordered = rows.repartition("folder", "file").sortWithinPartitions(
+        "folder", "file", "_part", *placed.order
     )
     files = ordered.select("folder", "file", "xml").write.partitionBy("folder", "file")
     files.option("compression", "gzip").text(path)
 
 
+def with_root(spark: SparkSession, sf_dir: str, render: Renderer) -> str:
+    """A new folder with the corpus written whole, each file in a root element."""
+    path = new_dir(spark, f"{render.__name__}-rooted")
+    _write(render(spark, sf_dir), path, root=True)
+    return path
+
+
 def _shard(prefix: str, key: str, files: int) -> str:
     return f"concat('{prefix}', lpad(cast(({key}) % {files} as string), 6, '0'))"
 

@@ -240,6 +240,11 @@ _REVISION_QUERIES = {
               AS b) marks
           ON b * 1000 > before AND b * 1000 <= before + article_cnt)""",
     "load_baseline": "SELECT pmid, title, file AS source_file FROM base",
+    "bad_files": "SELECT min(file) AS file FROM placed WHERE phase = 0",
+    "load_beside_damaged": f"""SELECT id::VARCHAR AS pmid, title, file AS source_file FROM (
+        SELECT *, row_number() OVER (PARTITION BY id ORDER BY phase DESC, file DESC, {_KEY.format('DESC')}) AS n
+        FROM changes WHERE file <> (SELECT min(file) FROM placed WHERE phase = 0))
+        WHERE n = 1 AND op = 'U'""",
     "load_updates": "SELECT pmid, title, file AS source_file FROM final",
     "stream_load": "SELECT pmid, title, file AS source_file FROM final",
     "reopened_lookup": """SELECT pmid, title, file AS source_file FROM final

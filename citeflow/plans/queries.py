@@ -208,6 +208,47 @@ def _loaded(spark: SparkSession, sf_dir: str, phase: int | None) -> CitationStor
     return store
 
 
+def _cut_first(spark: SparkSession, path: str, folder: str) -> None:
+    """Cut the compressed stream of the first file of ``folder`` in half, in a task, as an
+    interrupted copy would leave it."""
+    import pyarrow as pa
+    from pyarrow import fs
+
+    def cut(batches):
+        system, base = fs.FileSystem.from_uri(f"{path}/folder={folder}")
+        first = min(i.path for i in system.get_file_info(fs.FileSelector(base)) if "file=" in i.path)
+        part = min(i.path for i in system.get_file_info(fs.FileSelector(first)) if i.path.endswith(".gz"))
+        with system.open_input_stream(part, compression=None) as f:
+            data = f.read()
+        with system.open_output_stream(part, compression=None) as f:
+            f.write(data[: len(data) // 2])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0)], names=["id"])
+
+    spark.range(1).mapInArrow(cut, "id LONG").collect()
+
+
+def _beside_damaged(spark: SparkSession, sf_dir: str) -> CitationStore:
+    """A store loaded from the revisions in root elements, the first baseline file cut short."""
+    path = corpora.with_root(spark, sf_dir, corpora.revisions)
+    _cut_first(spark, path, "baseline")
+    store = CitationStore.create(spark, new_dir(spark, "store"))
+    store.load(path, name=folder_name)
+    return store
+
+
+@query
+def load_beside_damaged(spark, sf_dir):
+    """Current documents after a load in which one file is damaged: the others load."""
+    return _beside_damaged(spark, sf_dir).documents().select("pmid", "title", "source_file")
+
+
+@query
+def bad_files(spark, sf_dir):
+    """Files that a load found damaged."""
+    return _beside_damaged(spark, sf_dir).bad_files().select("file")
+
+
 @query
 def reset_tables(spark, sf_dir):
     """Rows of each table after a load, and after the reset that follows it."""

@@ -255,6 +255,7 @@ class CitationStore:
     def write_batch(
         self, batch: str, records: DataFrame, files: DataFrame | None = None,
         store_raw: bool = False, choose: Mapping[str, str] | None = None, seen: Observation | None = None,
+        listed: Sequence[str] = (),
     ) -> None:
         """Write the changes of scanned records, then the ledger rows that commit them.
 
@@ -263,7 +264,8 @@ class CitationStore:
         that is already finished is left as it is: a stream may offer one again after a failure.
         ``seen`` observes the scan (:func:`~citeflow.sources.records.read_checked`): files that it
         finds damaged get no ledger row, so a later load takes them again, and their changes never
-        count.
+        count. ``listed`` names the files that are not empty: one of them that gives no text at all
+        is damaged too.
         """
         if self._ledger_log().where(F.col("batch") == batch).take(1):
             return
@@ -273,7 +275,7 @@ class CitationStore:
         found = changes(records, store_raw=store_raw, seq=seq, choose=choose)
         found.write.options(**_STATIC).mode("overwrite").parquet(path)
         seconds = time.monotonic() - start
-        bad = damaged(seen) if seen is not None else []
+        bad = damaged(seen, listed) if seen is not None else []
         if bad:
             self.spark.createDataFrame([(f,) for f in bad], "file STRING").coalesce(1).write.mode("overwrite") \
                 .parquet(self._path("damaged", f"batch={batch}"))
@@ -316,7 +318,8 @@ class CitationStore:
         files = self.spark.createDataFrame([(r.file,) for r in todo], "file STRING")
         spread = _spread([r.length for r in todo], self.spark.sparkContext.defaultParallelism)
         records, seen = read_checked(self.spark, [r.path for r in todo], name, kind, spread)
-        self.write_batch(_new_batch("load"), records, files.distinct(), store_raw, choose, seen)
+        nonempty = [r.file for r in todo if r.length]
+        self.write_batch(_new_batch("load"), records, files.distinct(), store_raw, choose, seen, nonempty)
         return len(todo)
 
     def _apply(self, what: str, found: DataFrame, seq: int) -> None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -81,18 +81,20 @@ def observed(chunks: DataFrame, name: NameRule) -> tuple[DataFrame, Observation]
     seen = Observation()
     marked = chunks.observe(
         seen, F.collect_set(F.when(opens, file)).alias("opened"),
-        F.collect_set(F.when(closes, file)).alias("closed"),
+        F.collect_set(F.when(closes, file)).alias("closed"), F.collect_set(file).alias("read"),
     )
     return marked, seen
 
 
-def damaged(seen: Observation) -> list[str]:
-    """Files whose root element opens and never closes: the file ends too early.
+def damaged(seen: Observation, listed: Sequence[str] = ()) -> list[str]:
+    """Files whose root element opens and never closes, and listed files of which nothing could
+    be read (a stream cut so early that no text comes out): the file ends too early.
 
-    A file without a root element cannot be judged and is taken as it is.
+    A file without a root element that gives some text cannot be judged and is taken as it is.
     """
     found = seen.get
-    return sorted(set(found["opened"] or []) - set(found["closed"] or []))
+    unread = set(listed) - set(found["read"] or [])
+    return sorted(set(found["opened"] or []) - set(found["closed"] or []) | unread)
 
 
 def _located(chunks: DataFrame) -> DataFrame:
