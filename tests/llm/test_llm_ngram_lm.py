@@ -39,7 +39,8 @@ def held(doc_id):
 class Brute:
     """The same model in dictionaries, without quantisation."""
 
-    def __init__(self, texts):
+    def __init__(self, texts, min_count=1):
+        self.min_count = min_count
         self.counts = [Counter() for _ in range(3)]
         for t in texts:
             w = words_of(t)
@@ -49,14 +50,14 @@ class Brute:
         self.left = defaultdict(lambda: 1.0)
         for k in (1, 2):
             for gram, c in self.counts[k].items():
-                if c >= 2:
+                if c >= min_count:
                     self.left[gram[:-1]] -= (c - lm.DISCOUNT) / self.counts[k - 1][gram[:-1]]
 
     def p(self, context, word):
         if not context:
             return (self.counts[0][(word,)] + 1) / (self.n + self.v + 1)
         c = self.counts[len(context)][(*context, word)]
-        own = (c - lm.DISCOUNT) / self.counts[len(context) - 1][context] if c >= 2 else 0
+        own = (c - lm.DISCOUNT) / self.counts[len(context) - 1][context] if c >= self.min_count else 0
         return own + self.left[context] * self.p(context[1:], word)
 
     def score(self, text):
@@ -66,8 +67,8 @@ class Brute:
         return len(w), sum(self.counts[0][(x,)] > 0 for x in w), self.n, sum(base), sum(logs)
 
 
-def compare(got, rows):
-    brute = Brute([t for k, t in rows if not held(k)])
+def compare(got, rows, min_count=1):
+    brute = Brute([t for k, t in rows if not held(k)], min_count)
     want = sorted(((k, held(k), *brute.score(t)) for k, t in rows), key=repr)
     got = sorted(map(tuple, got), key=repr)
     assert [g[:5] for g in got] == [w[:5] for w in want]
@@ -91,7 +92,7 @@ def test_small_chunks_and_many_shards(spark, tables, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(7)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        compare(lm.score(docs, weight_bits=4).collect(), rows)
+        compare(lm.score(docs, weight_bits=4).collect(), rows, lm.MIN_COUNT)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
