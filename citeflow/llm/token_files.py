@@ -61,7 +61,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True  # names of special tokens are ordinary text
+        # A text that holds an added token's name is encoded whole, as the library splits it there.
+        names = sorted({t.content for t in self.tokenizer.get_added_tokens_decoder().values()}, key=len)
+        self.added = re.compile("|".join(map(re.escape, names))) if names else None
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
         # Ids of " " + piece: those of late, and those of before, which are forgotten next.
@@ -113,7 +115,7 @@ class Encoder:
         return found
 
     def encode(self, text: str) -> bytes:
-        if _RARE.search(text):
+        if _RARE.search(text) or (self.added is not None and self.added.search(text)):
             return self._encode([text])[0]
         if any(odd in text for odd in _ODD):
             pieces = _PIECE.findall(text)

@@ -14,8 +14,7 @@ from citeflow.plans.workspace import new_dir
 def plain():
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    found.encode_special_tokens = True
+    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))  # untouched, as the contract calls it
     return lambda text: found.encode(text, add_special_tokens=False).ids
 
 
@@ -34,6 +33,13 @@ def test_pieces_give_the_ids_of_whole_texts(plain):
         assert np.frombuffer(coder.encode(text), coder.dtype).tolist() == plain(text), repr(text)
 
 
+def test_names_of_added_tokens(plain):
+    coder = token_files.Encoder(TOKENIZER)
+    for text in ("end <|endoftext|> of", "<|endoftext|>", "a  <|endoftext|>\n b"):
+        assert np.frombuffer(coder.encode(text), coder.dtype).tolist() == plain(text)
+    assert 50256 in plain("end <|endoftext|> of")
+
+
 def test_cache_may_be_emptied(plain, monkeypatch):
     monkeypatch.setattr(token_files, "CACHED_PIECES", 4)
     coder = token_files.Encoder(TOKENIZER)
