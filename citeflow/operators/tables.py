@@ -41,8 +41,10 @@ def changes(
         *(field(v, rule).alias(name) for name, rule in rules.items()),
         file.alias("source_file"),
     )
+    # Clock readings of the scan, where it took them, pass through to the writer.
+    timed = [c for c in ("read_ns",) if c in records.columns]
     judged = with_parsed(records, tuple(rules.values())).select(
-        "phase", "file", "block", "ord", "kind", "raw_xml", PARSED,
+        "phase", "file", "block", "ord", "kind", "raw_xml", PARSED, *timed,
         F.when(loadable, record_error(kind, v)).alias("error"),
         F.explode(ids).alias("pmid"),
     )
@@ -56,6 +58,7 @@ def changes(
         op.alias("op"), "pmid", "phase", "file", F.lit(seq).cast("bigint").alias("seq"), "block", "ord", "kind", "error",
         F.when(loadable, kept_raw).alias("raw_xml"),
         F.when(op == UPSERT, doc).alias("doc"),
+        *timed,
     )
 
 

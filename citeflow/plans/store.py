@@ -259,8 +259,9 @@ class CitationStore:
     ) -> None:
         """Write the changes of scanned records, then the ledger rows that commit them.
 
-        ``files`` lists files that belong in the ledger even if they hold no record. Spark times
-        the batch, not its files: a file's duration is its share of the batch, by records. A batch
+        ``files`` lists files that belong in the ledger even if they hold no record. A file's
+        duration is what the tasks that read it spent on it, from clock readings the scan took
+        (:func:`~citeflow.sources.records.clocked`); without them, its share of the batch by records. A batch
         that is already finished is left as it is: a stream may offer one again after a failure.
         ``seen`` observes the scan (:func:`~citeflow.sources.records.read_checked`): files that it
         finds damaged get no ledger row, so a later load takes them again, and their changes never
@@ -280,16 +281,22 @@ class CitationStore:
             self.spark.createDataFrame([(f,) for f in bad], "file STRING").coalesce(1).write.mode("overwrite") \
                 .parquet(self._path("damaged", f"batch={batch}"))
 
-        written = self.spark.read.schema(CHANGE).parquet(path)
+        written = self.spark.read.schema(f"{CHANGE}, read_ns BIGINT").parquet(path)
         articles = F.count_if(F.col("op").isin(UPSERT, QUARANTINED))
-        counts = written.groupBy("file").agg(articles.alias("article_cnt"))
+        # A task's clock readings of a file part span all its rows but the last: scaled by n / (n - 1).
+        n = F.count("read_ns")
+        span = (F.max("read_ns") - F.min("read_ns")) / 1e9 * n / (n - 1)
+        parts = written.groupBy("file", "block").agg(articles.alias("article_cnt"), F.when(n > 1, span).alias("spent"))
+        counts = parts.groupBy("file").agg(F.sum("article_cnt").alias("article_cnt"), F.sum("spent").alias("spent"))
         if files is not None:
             counts = files.select("file").join(counts, "file", "left")
         counts = counts.where(~F.col("file").isin(bad))
-        counts = counts.select("file", F.coalesce("article_cnt", F.lit(0)).alias("article_cnt"))
+        counts = counts.select("file", F.coalesce("article_cnt", F.lit(0)).alias("article_cnt"), "spent")
         total = counts.agg(F.sum("article_cnt")).first()[0]
         per_record = seconds / total if total else 0.0
-        stats = counts.withColumn("duration", F.col("article_cnt") * F.lit(per_record))
+        # Measured where the scan read a clock; otherwise the file's share of the batch, by records.
+        share = F.col("article_cnt") * F.lit(per_record)
+        stats = counts.withColumn("duration", F.coalesce("spent", share)).drop("spent")
         rows = ledger_rows(stats).withColumns({
             "phase": phase_of(F.col("fn")), "elapsed": F.lit(spent + seconds),
             _LOADED_AT: F.current_timestamp(), "seq": F.lit(seq).cast("bigint"),

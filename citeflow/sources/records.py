@@ -67,6 +67,18 @@ def _options(separator: str) -> dict[str, str]:
     return {"lineSep": separator, "recursiveFileLookup": "true", "ignoreCorruptFiles": "true"}
 
 
+CLOCK = "read_ns"
+
+
+def clocked(chunks: DataFrame) -> DataFrame:
+    """Each chunk with the reading of its executor's clock when the task reached it.
+
+    Rows flow through a task one by one, so the spread of a file's readings within one task is
+    the time that task spent on the file, parse included where it runs in the same stage.
+    """
+    return chunks.withColumn(CLOCK, F.expr("reflect('java.lang.System', 'nanoTime')").cast("bigint"))
+
+
 def observed(chunks: DataFrame, name: NameRule) -> tuple[DataFrame, Observation]:
     """The chunks, and what the job that reads them finds: files whose root opens and closes.
 
@@ -142,8 +154,9 @@ def split_records(chunks: DataFrame, name: NameRule, kind: str = ARTICLE) -> Dat
     more = text.contains(f"</{kind}") | (F.locate(f"<{kind}", text, 2) > 0)
     single = text.startswith(f"<{kind}>") & ~more
     elements = F.flatten(F.transform(F.split(whole, f"(?={_HANDLED_TAG})"), _elements))
+    timed = [c for c in (CLOCK,) if c in chunks.columns]
     records = chunks.select(
-        "path", "block",
+        "path", "block", *timed,
         F.explode(F.when(single, F.array(whole)).otherwise(elements)).alias("raw_xml"),
     )
     file = name(F.col("path"))
@@ -154,6 +167,7 @@ def split_records(chunks: DataFrame, name: NameRule, kind: str = ARTICLE) -> Dat
         F.monotonically_increasing_id().alias("ord"),
         F.regexp_extract(F.substring_index("raw_xml", ">", 1), _TAG, 1).alias("kind"),
         "raw_xml",
+        *timed,
     )
 
 
@@ -178,7 +192,7 @@ def read_checked(
     spread: int | None = None,
 ) -> tuple[DataFrame, Observation]:
     """As :func:`read_records`, with the observation that :func:`damaged` reads after a job."""
-    chunks, seen = observed(read_chunks(spark, paths, kind), name)
+    chunks, seen = observed(clocked(read_chunks(spark, paths, kind)), name)
     return _spread_records(split_records(chunks, name, kind), spread), seen
 
 

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from citeflow.plans.store import CitationStore
 from citeflow.schema import ARTICLE
-from citeflow.sources.records import NameRule, observed, relative_to, split_records, stream_chunks
+from citeflow.sources.records import NameRule, clocked, observed, relative_to, split_records, stream_chunks
 
 
 def stream_load(
@@ -35,7 +35,7 @@ def stream_load(
         kept = store.spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first().value
         name = f"stream-{stream}-{json.loads(kept)['id']}-{epoch:09d}"
         done = store.ledger().select(F.col("fn").alias("file"))
-        chunks, seen = observed(batch, rule)
+        chunks, seen = observed(clocked(batch), rule)
         records = split_records(chunks, rule, kind).join(done, "file", "left_anti")
         store.write_batch(name, records, store_raw=store_raw, choose=choose, seen=seen)
 
