@@ -145,7 +145,19 @@ def _doi(v: Column) -> Column:
     )
     first_cited = F.get(F.filter(cited, lambda d: d.isNotNull()), F.lit(0))
     own = _first_doi(_at(v, "PubmedData.ArticleIdList.ArticleId"))
-    return F.when(_at(v, "BookDocument").isNull(), F.coalesce(own, first_cited)).otherwise("")
+    # Deeper reference lists: a path expression over the raw text, only for well-formed records
+    # that the paths above found nothing in and whose text holds a doi id at all.
+    raw = F.col("raw_xml")
+    deeper = F.when(
+        v[CORRUPT].isNull() & F.contains(raw, F.lit('IdType="doi"')),
+        F.nullif(F.expr(f"xpath_string(raw_xml, '{_ANY_DOI}')"), F.lit("")),
+    )
+    return F.when(_at(v, "BookDocument").isNull(), F.coalesce(own, first_cited, deeper)).otherwise("")
+
+
+# The first doi id in document order whose text is not blank.
+_ANY_DOI = 'normalize-space((//ArticleId[@IdType="doi"][normalize-space(text())])[1]/text())'
+
 
 
 def _own_doi(v: Column) -> Column:

@@ -103,6 +103,20 @@ def test_doi(spark, tmp_path):
     }
 
 
+def test_doi_at_any_depth(spark, tmp_path):
+    def nested(depth, doi):
+        ids = f'<Reference><ArticleIdList><ArticleId IdType="doi">{doi}</ArticleId></ArticleIdList></Reference>'
+        return "<ReferenceList>" * depth + ids + "</ReferenceList>" * depth
+
+    records = [article(str(d), data=nested(d, f"10.5/depth{d}")) for d in range(1, 6)]
+    records.append(article("9", data=nested(4, "") + nested(5, "10.5/later")))
+    records.append(article("8", data=nested(3, " ") + "<ArticleId>doi</ArticleId>"))
+    docs = docs_of(spark, tmp_path, *records, "<PubmedArticle><Broken", fields=("doi",))
+    assert {p: d.doi for p, d in docs.items() if p} == {
+        **{str(d): f"10.5/depth{d}" for d in range(1, 6)}, "9": "10.5/later", "8": None,
+    }
+
+
 def test_compounds_and_mesh(spark, tmp_path):
     chemicals = """<ChemicalList>
       <Chemical><NameOfSubstance UI="D1">one</NameOfSubstance></Chemical>
