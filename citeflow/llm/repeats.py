@@ -17,7 +17,9 @@ module finds the same strings exactly with joins and aggregates instead (see the
 4. Windows whose fingerprint occurs twice or more are repeated; their bytes are removed.
 
 Work grows with the number of anchors and of bytes near repeated anchors, not with pairs: a
-string held by thousands of texts is one aggregate key, never a group of pairs.
+string held by thousands of texts is one aggregate key, never a group of pairs. Rows with the same
+text are one text with a count of copies (a 96-bit hash of the bytes is its key): their anchors
+are counted before the shuffle and their windows made once.
 
 Defined results: a null text is empty; a text shorter than ``length`` bytes loses nothing; repeated
 rows of ``length`` bytes or more remove each other whole; a null id is an id like any other; an
@@ -114,66 +116,73 @@ def _candidate_starts(places: np.ndarray, size: int, length: int, k: int) -> np.
 
 
 def _key(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``doc_id, body, h, h2``: the text's bytes and 96 bits of hash of them, its key."""
     body = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"").cast("binary"))
-    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), body.alias("body")).withColumn(
-        "h", F.xxhash64("doc_id", "body"))
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), body.alias("body"))
+    return rows.withColumns({"h": F.xxhash64("body"), "h2": F.crc32("body")})
 
 
-_KEYS = [T.StructField("doc_id", T.LongType()), T.StructField("h", T.LongType())]
+_KEYS = [T.StructField("h", T.LongType()), T.StructField("h2", T.LongType())]
 
 
 def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH,
              k: int = K) -> DataFrame:
-    """``doc_id, h, starts``: starts of repeated windows of each text that has any."""
+    """``h, h2, starts``: starts of repeated windows of each distinct text that has any.
+
+    Rows with the same text are one text with a number of copies: its anchors are counted once per
+    copy, but its windows are made once.
+    """
     spark = docs.sparkSession
     rows = _key(docs, doc_id, text)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, bodies, hs = (batch.column(i).to_pylist() for i in range(3))
-            out_id, out_h, out_p, out_k = [], [], [], []
-            for d, body, h in zip(ids, bodies, hs):
+            bodies, hs, h2s = (batch.column(i).to_pylist() for i in range(3))
+            out_h, out_h2, out_p, out_k = [], [], [], []
+            for body, h, h2 in zip(bodies, hs, h2s):
                 at, kh = anchors(body, length, k)
-                out_id += [d] * len(at)
                 out_h += [h] * len(at)
+                out_h2 += [h2] * len(at)
                 out_p.append(at)
                 out_k.append(kh.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out_id, pa.int64()), pa.array(out_h, pa.int64()),
+                [pa.array(out_h, pa.int64()), pa.array(out_h2, pa.int64()),
                  pa.array(np.concatenate(out_p) if out_p else np.zeros(0, np.int64)),
                  pa.array(np.concatenate(out_k) if out_k else np.zeros(0, np.int64))],
-                names=["doc_id", "h", "pos", "kh"])
-
-    found = stored(rows.select("doc_id", "body", "h").mapInArrow(
-        find, T.StructType(_KEYS + [T.StructField("pos", T.LongType()), T.StructField("kh", T.LongType())])),
-        spark, "anchors")
-    repeated = found.groupBy("kh").agg(F.count(F.lit(1)).alias("n")).where("n >= 2").select("kh")
-    places = found.join(repeated, "kh", "left_semi").groupBy("doc_id", "h").agg(
-        F.array_sort(F.collect_set("pos")).alias("places"))
-    near = rows.join(places, (rows["doc_id"].eqNullSafe(places["doc_id"])) & (rows["h"] == places["h"])).select(
-        rows["doc_id"], rows["h"], "body", "places")
+                names=["h", "h2", "pos", "kh"])
+
+    found = rows.select("body", "h", "h2").mapInArrow(
+        find, T.StructType(_KEYS + [T.StructField("pos", T.LongType()), T.StructField("kh", T.LongType())]))
+    # Copies of a text give the same anchors: they are counted, not repeated, before the shuffle.
+    held = stored(found.groupBy("h", "h2", "pos", "kh").agg(F.count(F.lit(1)).alias("copies")), spark, "anchors")
+    repeated = held.groupBy("kh").agg(F.sum("copies").alias("n")).where("n >= 2").select("kh")
+    places = held.join(repeated, "kh", "left_semi").groupBy("h", "h2").agg(
+        F.array_sort(F.collect_set("pos")).alias("places"), F.max("copies").alias("copies"))
+    # One body of each text that has repeated anchors; copies are dropped before the shuffle.
+    bodies = rows.groupBy("h", "h2").agg(F.first("body").alias("body"))
+    near = bodies.join(places, ["h", "h2"]).select("h", "h2", "copies", "body", "places")
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = [batch.column(i).to_pylist() for i in range(4)]
-            out = {"doc_id": [], "h": [], "start": [], "f1": [], "f2": []}
-            for d, h, body, at in zip(*cols):
+            cols = [batch.column(i).to_pylist() for i in range(5)]
+            out = {"h": [], "h2": [], "copies": [], "start": [], "f1": [], "f2": []}
+            for h, h2, copies, body, at in zip(*cols):
                 starts = _candidate_starts(np.array(at, np.int64), len(body), length, k)
                 one, two = window_prints(body, starts, length, k)
-                out["doc_id"] += [d] * len(starts)
-                out["h"] += [h] * len(starts)
+                for name, value in (("h", h), ("h2", h2), ("copies", copies)):
+                    out[name] += [value] * len(starts)
                 out["start"].append(starts)
                 out["f1"].append(one)
                 out["f2"].append(two)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out["doc_id"], pa.int64()), pa.array(out["h"], pa.int64())]
+                [pa.array(out[c], pa.int64()) for c in ("h", "h2", "copies")]
                 + [pa.array(np.concatenate(out[c]) if out[c] else np.zeros(0, np.int64)) for c in ("start", "f1", "f2")],
                 names=list(out))
 
-    schema = T.StructType(_KEYS + [T.StructField(c, T.LongType()) for c in ("start", "f1", "f2")])
+    schema = T.StructType(_KEYS + [T.StructField(c, T.LongType()) for c in ("copies", "start", "f1", "f2")])
     windows = stored(near.mapInArrow(prints, schema), spark, "windows")
-    twice = windows.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("n")).where("n >= 2").select("f1", "f2")
-    return windows.join(twice, ["f1", "f2"], "left_semi").groupBy("doc_id", "h").agg(
+    twice = windows.groupBy("f1", "f2").agg(F.sum("copies").alias("n")).where("n >= 2").select("f1", "f2")
+    return windows.join(twice, ["f1", "f2"], "left_semi").groupBy("h", "h2").agg(
         F.array_sort(F.collect_set("start")).alias("starts"))
 
 
@@ -192,8 +201,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` (the remaining bytes) of every row."""
     rows = _key(docs, doc_id, text)
     marked = removals(docs, doc_id, text, length, k)
-    joined = rows.join(marked, (rows["doc_id"].eqNullSafe(marked["doc_id"])) & (rows["h"] == marked["h"]),
-                       "left").select(rows["doc_id"], "body", "starts")
+    joined = rows.join(marked, ["h", "h2"], "left").select("doc_id", "body", "starts")
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
                            T.StructField("kept_sha256", T.StringType()), T.StructField("kept", T.BinaryType())])
