@@ -40,6 +40,7 @@ SPREAD_BYTES = 16 << 20
 
 _LOADED_AT = "loaded_at"
 _LEDGER_ROW = f"{LEDGER}, phase INT, elapsed DOUBLE, {_LOADED_AT} TIMESTAMP, seq BIGINT"
+PROGRESS = "seq BIGINT, files BIGINT, chunks BIGINT, article_cnt BIGINT, damaged BIGINT, seconds DOUBLE, elapsed DOUBLE"
 # A session may ask for dynamic overwriting, which would keep what a reset must remove.
 _STATIC = {"partitionOverwriteMode": "static"}
 _POINTER = "snapshot BIGINT, batches ARRAY<STRING>"
@@ -265,8 +266,8 @@ class CitationStore:
         that is already finished is left as it is: a stream may offer one again after a failure.
         ``seen`` observes the scan (:func:`~citeflow.sources.records.read_checked`): files that it
         finds damaged get no ledger row, so a later load takes them again, and their changes never
-        count. ``listed`` names the files that are not empty: one of them that gives no text at all
-        is damaged too.
+        count. ``listed`` names the files of the load: one of them that gives no text at all (an
+        empty or cut file, or an empty gzip stream) is damaged too.
         """
         if self._ledger_log().where(F.col("batch") == batch).take(1):
             return
@@ -292,7 +293,7 @@ class CitationStore:
             counts = files.select("file").join(counts, "file", "left")
         counts = counts.where(~F.col("file").isin(bad))
         counts = counts.select("file", F.coalesce("article_cnt", F.lit(0)).alias("article_cnt"), "spent")
-        total = counts.agg(F.sum("article_cnt")).first()[0]
+        total, taken = counts.agg(F.sum("article_cnt"), F.count(F.lit(1))).first()
         per_record = seconds / total if total else 0.0
         # Measured where the scan read a clock; otherwise the file's share of the batch, by records.
         share = F.col("article_cnt") * F.lit(per_record)
@@ -302,6 +303,24 @@ class CitationStore:
             _LOADED_AT: F.current_timestamp(), "seq": F.lit(seq).cast("bigint"),
         })
         rows.coalesce(1).write.options(**_STATIC).mode("overwrite").parquet(self._path("ledger", f"batch={batch}"))
+        # What the batch did, from figures its own jobs gave: no further pass over the data.
+        chunks = seen.get["chunks"] if seen is not None else None
+        self.spark.createDataFrame(
+            [(seq, taken, chunks, total or 0, len(bad), seconds, spent + seconds)],
+            PROGRESS,
+        ).withColumn("finished_at", F.current_timestamp()).coalesce(1).write.mode("overwrite").parquet(
+            self._path("progress", f"batch={batch}"))
+
+    def progress(self) -> DataFrame:
+        """One row per finished batch, load or stream: files taken, chunks read, articles,
+        damaged files, seconds and the elapsed time of all loads until then."""
+        try:
+            return self.spark.read.schema(f"{PROGRESS}, finished_at TIMESTAMP, batch STRING").parquet(
+                self._path("progress"))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], f"{PROGRESS}, finished_at TIMESTAMP, batch STRING")
 
     def load(
         self, data_dir: str, phase: int | None = None, store_raw: bool = False,
@@ -325,8 +344,8 @@ class CitationStore:
         files = self.spark.createDataFrame([(r.file,) for r in todo], "file STRING")
         spread = _spread([r.length for r in todo], self.spark.sparkContext.defaultParallelism)
         records, seen = read_checked(self.spark, [r.path for r in todo], name, kind, spread)
-        nonempty = [r.file for r in todo if r.length]
-        self.write_batch(_new_batch("load"), records, files.distinct(), store_raw, choose, seen, nonempty)
+        self.write_batch(_new_batch("load"), records, files.distinct(), store_raw, choose, seen,
+                         [r.file for r in todo])
         return len(todo)
 
     def _apply(self, what: str, found: DataFrame, seq: int) -> None:

@@ -94,13 +94,14 @@ def observed(chunks: DataFrame, name: NameRule) -> tuple[DataFrame, Observation]
     marked = chunks.observe(
         seen, F.collect_set(F.when(opens, file)).alias("opened"),
         F.collect_set(F.when(closes, file)).alias("closed"), F.collect_set(file).alias("read"),
+        F.count(F.lit(1)).alias("chunks"),
     )
     return marked, seen
 
 
 def damaged(seen: Observation, listed: Sequence[str] = ()) -> list[str]:
     """Files whose root element opens and never closes, and listed files of which nothing could
-    be read (a stream cut so early that no text comes out): the file ends too early.
+    be read (empty, or a stream cut so early that no text comes out): the file ends too early.
 
     A file without a root element that gives some text cannot be judged and is taken as it is.
     """

@@ -17,3 +17,22 @@ def test_costly_file_takes_longer(spark, tmp_path):
     assert 0 < cheap.duration < costly.duration
     # Seconds of tasks: never more than the load's time on all cores.
     assert cheap.duration + costly.duration <= costly.elapsed * spark.sparkContext.defaultParallelism
+
+
+def test_progress_rows_agree_with_the_ledger(spark, tmp_path):
+    from citeflow.streaming.load import stream_load
+    from tests.samples import deletes
+
+    data = tmp_path / "data"
+    write_file(data / "baseline", "a.xml.gz", *[article(i) for i in range(1, 51)])
+    write_file(data / "baseline", "b.xml.gz", *[article(i) for i in range(51, 81)], deletes(3))
+    store = CitationStore.create(spark, str(tmp_path / "store"))
+    store.load(str(data))
+    write_file(data / "updatefiles", "c.xml.gz", *[article(i) for i in range(81, 91)])
+    stream_load(store, str(data), str(tmp_path / "checkpoint")).awaitTermination(120)
+    rows = sorted(store.progress().collect(), key=lambda r: r.seq)
+    ledger = store.ledger().collect()
+    assert [(r.files, r.article_cnt, r.damaged) for r in rows] == [(2, 80, 0), (1, 10, 0)]
+    assert sum(r.article_cnt for r in rows) == sum(r.article_cnt for r in ledger)
+    assert sum(r.files for r in rows) == len(ledger)
+    assert rows[0].chunks >= 80 and rows[1].elapsed >= rows[0].elapsed
