@@ -241,6 +241,8 @@ _REVISION_QUERIES = {
           ON b * 1000 > before AND b * 1000 <= before + article_cnt)""",
     "load_baseline": "SELECT pmid, title, file AS source_file FROM base",
     "bad_files": "SELECT min(file) AS file FROM placed WHERE phase = 0",
+    "load_progress": """SELECT count(*)::BIGINT AS files, sum(article_cnt)::BIGINT AS article_cnt,
+        0::BIGINT AS damaged FROM counts""",
     "load_beside_damaged": f"""SELECT id::VARCHAR AS pmid, title, file AS source_file FROM (
         SELECT *, row_number() OVER (PARTITION BY id ORDER BY phase DESC, file DESC, {_KEY.format('DESC')}) AS n
         FROM changes WHERE file <> (SELECT min(file) FROM placed WHERE phase = 0))

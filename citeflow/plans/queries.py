@@ -249,6 +249,12 @@ def bad_files(spark, sf_dir):
     return _beside_damaged(spark, sf_dir).bad_files().select("file")
 
 
+@query
+def load_progress(spark, sf_dir):
+    """The progress row of a load of all revisions: files, articles and damaged files."""
+    return _loaded(spark, sf_dir, None).progress().select("files", "article_cnt", "damaged")
+
+
 @query
 def reset_tables(spark, sf_dir):
     """Rows of each table after a load, and after the reset that follows it."""
