@@ -56,31 +56,38 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def leaves(docs: DataFrame, text: str = "text", lang: str = "lang", depth: int = DEPTH) -> DataFrame:
-    """``lang, leaf, c``: each suffix of each piece cut at ``depth`` words, and its total."""
+    """``lang, leaf, c``: each suffix of each piece cut at ``depth`` words, and its total.
+
+    A leaf is its words joined by one blank (words hold none), the smallest row to shuffle.
+    """
     lowered = F.translate(F.coalesce(F.col(f"`{text}`"), F.lit("")), _UPPER, _LOWER)
     pieces = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN)).alias("lang"),
                          F.explode(F.split(lowered, PIECE)).alias("piece"))
     ws = F.regexp_extract_all(F.col("piece"), F.lit(WORD), 0)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(ws)), lambda i: F.slice(ws, i, depth))
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(ws)), lambda i: F.array_join(F.slice(ws, i, depth), " "))
     rows = pieces.select("lang", F.explode(F.when(F.size(ws) > 0, suffixes)).alias("leaf"))
     return rows.groupBy("lang", "leaf").agg(F.count(F.lit(1)).alias("c"))
 
 
+def _prefix(leaf: Column, d: int) -> Column:
+    return F.substring_index(leaf, " ", d)
+
+
 def _units(tips: DataFrame, budget: int, depth: int) -> DataFrame:
     """``lang, leaf, c, unit, level``: the shortest prefix of the leaf whose subtree fits the budget.
 
     ``level`` is the number of words by which the leaf's first word was filed; a leaf shorter than
     that is a unit of its own.
     """
-    unit = F.slice("leaf", 1, 1)
+    unit = _prefix(F.col("leaf"), 1)
     for d in range(1, depth):
-        sizes = tips.groupBy("lang", F.slice("leaf", 1, d).alias("p")).agg(F.count(F.lit(1)).alias("size"))
+        sizes = tips.groupBy("lang", _prefix(F.col("leaf"), d).alias("p")).agg(F.count(F.lit(1)).alias("size"))
         large = sizes.where(F.col("size") > budget).select("lang", "p", F.lit(True).alias(f"large{d}"))
-        tips = tips.join(large, (tips["lang"] == large["lang"]) & (F.slice(tips["leaf"], 1, d) == large["p"]),
+        tips = tips.join(large, (tips["lang"] == large["lang"]) & (_prefix(tips["leaf"], d) == large["p"]),
                          "left").select(tips["*"], f"large{d}")
     level = F.lit(1)
     for d in range(depth - 1, 0, -1):
-        unit = F.when(F.col(f"large{d}").isNotNull(), F.slice("leaf", 1, d + 1)).otherwise(unit)
+        unit = F.when(F.col(f"large{d}").isNotNull(), _prefix(F.col("leaf"), d + 1)).otherwise(unit)
         level = level + F.col(f"large{d}").isNotNull().cast("int")
     return tips.select("lang", "leaf", "c", unit.alias("unit"), level.alias("level"))
 
@@ -89,7 +96,7 @@ def _packed(units: DataFrame, budget: int, spark: SparkSession) -> DataFrame:
     """``lang, unit, grp``: units in order, packed greedily within each range partition."""
     sizes = units.groupBy("lang", "unit").agg(F.count(F.lit(1)).alias("size"))
     ordered = sizes.repartitionByRange("lang", "unit").sortWithinPartitions("lang", "unit")
-    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("unit", T.ArrayType(T.StringType())),
+    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("unit", T.StringType()),
                            T.StructField("grp", T.LongType())])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,18 +114,18 @@ def _packed(units: DataFrame, budget: int, spark: SparkSession) -> DataFrame:
 
 
 def _node_counts(group: pd.DataFrame) -> pd.DataFrame:
-    """Counts of every node of the group's subtrees, summed over runs of its sorted leaves."""
-    leaf = group["leaf"].map(tuple)
-    depth = int(leaf.map(len).max())
-    frame = pd.DataFrame({f"w{i}": leaf.map(lambda t, i=i: t[i] if len(t) > i else "") for i in range(depth)})
-    frame["c"] = group["c"].to_numpy()
-    frame["level"] = group["level"].to_numpy()
-    frame = frame.sort_values([f"w{i}" for i in range(depth)], kind="stable")
+    """Counts of every node of the group's subtrees, summed over runs of its sorted leaves.
+
+    ``p1 .. pD`` are the leaf's first 1 .. D words (Spark cuts them); sorted by them, the leaves
+    below one node stand together.
+    """
+    depth = int(group["size"].max())
+    names = [f"p{d}" for d in range(1, depth + 1)]
+    frame = group.sort_values(names, kind="stable")
     out = []
     for d in range(1, depth + 1):
-        # Leaves that reach depth d, in order: those below one node stand together.
-        deep = frame[frame[f"w{d - 1}"] != ""]
-        keys = deep[[f"w{i}" for i in range(d)]].agg(" ".join, axis=1).to_numpy()
+        deep = frame[frame["size"].to_numpy() >= d]
+        keys = deep[f"p{d}"].to_numpy()
         if not len(keys):
             continue
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
@@ -137,7 +144,9 @@ def counts(docs: DataFrame, text: str = "text", lang: str = "lang", depth: int =
     tips = stored(leaves(docs, text, lang, depth), spark, "leaves")
     units = _units(tips, budget, depth)
     groups = _packed(units, budget, spark)
-    filed = units.join(groups, ["lang", "unit"])
+    filed = units.join(groups, ["lang", "unit"]).select(
+        "lang", "grp", "c", "level", F.size(F.split("leaf", " ")).alias("size"),
+        *(_prefix(F.col("leaf"), d).alias(f"p{d}") for d in range(1, depth + 1)))
     schema = "lang string, phrase string, n_words int, f long, split boolean"
     nodes = stored(filed.groupBy("lang", "grp").applyInPandas(_node_counts, schema), spark, "nodes")
     whole = nodes.where(~F.col("split")).drop("split")
