@@ -211,6 +211,24 @@ def _created_date(v: Column) -> Column:
     return created_date(created["Year"], created["Month"], created["Day"])
 
 
+def _string_value(path: str) -> Column:
+    """Whole text of the first element at ``path`` in the raw record, inline tags' text included,
+    blanks kept; NULL if there is none or it is empty."""
+    return F.nullif(F.expr(f"xpath_string(raw_xml, 'string(({path})[1])')"), F.lit(""))
+
+
+def _full_title(v: Column) -> Column:
+    """The title as its whole text: the first of article title, book title in an article, and
+    book title that is not empty; '' if none is. Malformed records, which do not load, get NULL."""
+    whole = F.coalesce(
+        _string_value("/*/MedlineCitation/Article/ArticleTitle"),
+        _string_value("/*/MedlineCitation/Article/BookTitle"),
+        _string_value("/*/BookDocument/Book/BookTitle"),
+        F.lit(""),
+    )
+    return F.when(v[CORRUPT].isNull(), whole)
+
+
 _MESH_PATH = "MedlineCitation.MeshHeadingList"
 _TITLE_PATHS = (f"{_ART}.ArticleTitle", f"{_ART}.BookTitle", f"{_BOOK}.BookTitle")
 _DATE_PATHS = (f"{_ART}.Journal.JournalIssue", f"{_BOOK}.PubDate")
@@ -229,6 +247,7 @@ FIELDS = {
     "compounds": _Field(("MedlineCitation.ChemicalList",), _compounds),
     "mesh": _Field((_MESH_PATH, "MedlineCitation.ChemicalList"), _mesh),
     # Other projections of the same records.
+    "full_title": _Field(_TITLE_PATHS, _full_title),
     "own_doi": _Field(("PubmedData.ArticleIdList",), _own_doi),
     "mesh_all": _Field((_MESH_PATH,), _mesh_all),
     "lead_title": _Field((f"{_ART}.ArticleTitle",), _article_title_lead),

@@ -54,6 +54,8 @@ _TEXT_QUERIES = {
     "compressed_roundtrip": "SELECT pmid, title, abstract, lang FROM docs",
     "doc_pmid": "SELECT pmid FROM docs",
     "doc_title": "SELECT pmid, title FROM docs",
+    "doc_title_full": """SELECT pmid, CASE doc_id % 40 WHEN 0 THEN '' WHEN 20 THEN 'no'
+        ELSE lines[1] || ' in ' || lang END AS title FROM docs""",
     "doc_abstract": "SELECT pmid, abstract FROM docs",
     "node_text": """SELECT pmid, (i - 1)::INTEGER AS part,
         lines[i] || CASE WHEN i % 2 = 0 THEN ' end' ELSE '' END AS text

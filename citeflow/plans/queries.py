@@ -307,6 +307,12 @@ def doc_title(spark, sf_dir):
     return _docs(spark, sf_dir, corpora.texts, ("title",)).select("pmid", "title")
 
 
+@query
+def doc_title_full(spark, sf_dir):
+    """Titles as their whole text, inline tags' text included."""
+    return _docs(spark, sf_dir, corpora.texts, ("full_title",)).select("pmid", F.col("full_title").alias("title"))
+
+
 @query
 def doc_abstract(spark, sf_dir):
     return _docs(spark, sf_dir, corpora.texts, ("abstract",)).select("pmid", "abstract")

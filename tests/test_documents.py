@@ -103,6 +103,22 @@ def test_doi(spark, tmp_path):
     }
 
 
+def test_full_title(spark, tmp_path):
+    records = [
+        article("1", "<ArticleTitle>Effect of <i>E. coli</i> on <sup>2</sup>Y</ArticleTitle>"),
+        article("2", "<ArticleTitle>  <b>both</b>  blanks </ArticleTitle>"),
+        article("3", "<ArticleTitle/><BookTitle>Book <i>in</i> article</BookTitle>"),
+        article("4", ""),
+        article("5", "<ArticleTitle>a &amp; b<![CDATA[<c>]]></ArticleTitle>"),
+        book("6", "<BookTitle>The <i>book</i></BookTitle>"),
+    ]
+    docs = docs_of(spark, tmp_path, *records, fields=("full_title",))
+    assert {p: d.full_title for p, d in docs.items()} == {
+        "1": "Effect of E. coli on 2Y", "2": "  both  blanks ", "3": "Book in article", "4": "",
+        "5": "a & b<c>", "6": "The book",
+    }
+
+
 def test_doi_at_any_depth(spark, tmp_path):
     def nested(depth, doi):
         ids = f'<Reference><ArticleIdList><ArticleId IdType="doi">{doi}</ArticleId></ArticleIdList></Reference>'
