@@ -106,7 +106,8 @@ class CitationStore:
 
     def reset(self) -> None:
         """Empty all tables, keeping their schemas. Streams need new checkpoints afterwards."""
-        for table, schema in (("ledger", _LEDGER_ROW), ("changes", CHANGE)):
+        for table, schema in (("ledger", _LEDGER_ROW), ("changes", CHANGE), ("damaged", "file STRING"),
+                              ("progress", f"{PROGRESS}, finished_at TIMESTAMP")):
             empty = self.spark.createDataFrame([], f"{schema}, batch STRING")
             empty.write.options(**_STATIC).mode("overwrite").partitionBy("batch").parquet(
                 self._path(table)
