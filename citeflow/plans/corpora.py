@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from citeflow.plans.workspace import new_dir
 from citeflow.schema import ARTICLE
-from citeflow.sources.records import read_records
+from citeflow.sources.records import phase_of, read_chunks, split_records
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,14 +29,19 @@ def file_count(rows: DataFrame, rows_per_file: int) -> int:
 
 def folder_name(path: Column) -> Column:
     """File name of a rendered file, which Spark keeps in its partition folders."""
-    return F.regexp_replace(path, r"^.*/folder=([^/]+)/file=([^/]+)/[^/]*$", "$1/$2.xml.gz")
+    below = F.substring_index(path, "/folder=", -1)
+    folder, file = F.substring_index(below, "/file=", 1), F.substring_index(below, "/file=", -1)
+    return F.concat(folder, F.lit("/"), F.substring_index(file, "/", 1), F.lit(".xml.gz"))
 
 
 class Placed(NamedTuple):
-    """Rendered rows: folder, file, xml and the columns that order a file."""
+    """Rows with their folder and file, the columns that order a file, and the SQL expression of
+    a row's xml. The rows travel to their files as they are and are rendered there: the text is
+    several times larger than the columns it is made of."""
 
     rows: DataFrame
     order: tuple[str, ...]
+    xml: str
 
 
 # How a record file begins and ends when it has a root element.
@@ -45,18 +50,16 @@ _TAIL = "</PubmedArticleSet>"
 
 
 def _write(placed: Placed, path: str, root: bool = False) -> None:
-    rows = placed.rows.select("folder", "file", "xml", *placed.order, F.lit(1).alias("_part"))
+    rows, order, xml = placed.rows, placed.order, placed.xml
     if root:
-        files = placed.rows.select("folder", "file").distinct()
-        ends = [files.select("folder", "file", F.lit(text).alias("xml"),
-                             *(F.lit(None).alias(c) for c in placed.order), F.lit(part).alias("_part"))
-                for text, part in ((_HEAD, 0), (_TAIL, 2))]
-        rows = rows.unionByName(ends[0]).unionByName(ends[1], allowMissingColumns=False)
-    ordered = rows.repartition("folder", "file").sortWithinPartitions(
-        "folder", "file", "_part", *placed.order
-    )
-    files = ordered.select("folder", "file", "xml").write.partitionBy("folder", "file")
-    files.option("compression", "gzip").text(path)
+        ends = rows.select("folder", "file").distinct().withColumn("_part", F.explode(F.array(F.lit(0), F.lit(2))))
+        rows = rows.withColumn("_part", F.lit(1)).unionByName(ends, allowMissingColumns=True)
+        order = ("_part", *order)
+        xml = f"CASE _part WHEN 0 THEN '{_HEAD}' WHEN 2 THEN '{_TAIL}' ELSE {xml} END"
+    ordered = rows.repartition("folder", "file").sortWithinPartitions("folder", "file", *order)
+    files = ordered.selectExpr("folder", "file", f"{xml} AS xml").write.partitionBy("folder", "file")
+    # Read once or twice and thrown away: the level that costs least time.
+    files.options(compression="gzip", **{"zlib.compress.level": "BEST_SPEED"}).text(path)
 
 
 def with_root(spark: SparkSession, sf_dir: str, render: Renderer) -> str:
@@ -93,7 +96,6 @@ def texts(spark: SparkSession, sf_dir: str) -> Placed:
     no title and one only a book title; of each 45 one has no id; of each 50 one is malformed.
     """
     docs = table(spark, sf_dir, "documents")
-    split = docs.selectExpr("doc_id", "lang", "source", rf"split({_ESCAPED}, '\n', -1) AS lines")
     part = (
         "concat('<AbstractText', if((i + 1) % 3 = 0, concat(' Label=\"PART ', i + 1, '\"'), ''), "
         "'>', line, if((i + 1) % 2 = 0, '<sup>2</sup> end', ''), '</AbstractText>\\n')"
@@ -115,10 +117,11 @@ def texts(spark: SparkSession, sf_dir: str) -> Placed:
         '</PublicationTypeList>\\n</Article>\\n', if(doc_id % 50 = 49, '<Open>', ''),
         '</MedlineCitation>\\n</PubmedArticle>')"""
     file = _shard("art-", "doc_id", file_count(docs, 500))
-    return Placed(
-        split.selectExpr("'baseline' AS folder", f"{file} AS file", "doc_id", f"{xml} AS xml"),
-        ("doc_id",),
+    rows = docs.selectExpr(
+        "'baseline' AS folder", f"{file} AS file", "doc_id", "lang", "source",
+        rf"split({_ESCAPED}, '\n', -1) AS lines",
     )
+    return Placed(rows, ("doc_id",), xml)
 
 
 _YEAR, _MON = "year(o_orderdate)", "date_format(o_orderdate, 'MMM')"
@@ -202,13 +205,18 @@ _HEADINGS = "'<MeshHeadingList>\\n', " + ", ".join(
 ) + ", '</MeshHeadingList>\\n'"
 
 
-def _order_files(orders: DataFrame) -> str:
-    return _shard("ord-", "o_orderkey", file_count(orders, 4000))
+# What the records of an order are made of.
+_ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    file = _shard("ord-", "o_orderkey", file_count(orders, 4000))
+    return orders.selectExpr("'baseline' AS folder", f"{file} AS file", *_ORDER_COLUMNS)
 
 
 def articles(spark: SparkSession, sf_dir: str) -> Placed:
     """``orders``: dates in thirteen forms, authors, journals, DOIs, compounds and headings."""
-    orders = table(spark, sf_dir, "orders")
     xml = f"""concat('<PubmedArticle>\\n<MedlineCitation>\\n', {_id('o_orderkey')},
         '<Article>\\n<Journal>\\n<JournalIssue><PubDate>', {_date(13)},
         '</PubDate></JournalIssue>\\n', {_el('Title', 'o_orderpriority')},
@@ -216,15 +224,11 @@ def articles(spark: SparkSession, sf_dir: str) -> Placed:
         '</Journal>\\n', {_el('ArticleTitle', "'Order ', o_orderkey, ' &amp; <i>customer</i>'")},
         {_AUTHORS}, '</Article>\\n', {_CHEMICALS}, {_HEADINGS},
         '</MedlineCitation>\\n<PubmedData>', {_IDS}, '</PubmedData>\\n</PubmedArticle>')"""
-    rows = orders.selectExpr(
-        "'baseline' AS folder", f"{_order_files(orders)} AS file", "o_orderkey", f"{xml} AS xml"
-    )
-    return Placed(rows, ("o_orderkey",))
+    return Placed(_orders(spark, sf_dir), ("o_orderkey",), xml)
 
 
 def books(spark: SparkSession, sf_dir: str) -> Placed:
     """``orders`` as books: a title with inline tag, a date, two author lists, an abstract."""
-    orders = table(spark, sf_dir, "orders")
     editor = _el("LastName", "'E', o_custkey % 7")
     label = "if(o_orderkey % 3 = 0, '', ' Label=\"ABOUT\"')"
     xml = f"""concat('<PubmedBookArticle>\\n<BookDocument>\\n', {_id('o_orderkey')}, '<Book>\\n',
@@ -233,10 +237,7 @@ def books(spark: SparkSession, sf_dir: str) -> Placed:
         '</Author></AuthorList>\\n</Book>\\n', {_AUTHORS}, '<Abstract>\\n<AbstractText', {label},
         '>', o_orderpriority, ' <b>of</b> ', o_orderstatus, '</AbstractText>\\n</Abstract>\\n',
         '</BookDocument>\\n<PubmedBookData/>\\n</PubmedBookArticle>')"""
-    rows = orders.selectExpr(
-        "'baseline' AS folder", f"{_order_files(orders)} AS file", "o_orderkey", f"{xml} AS xml"
-    )
-    return Placed(rows, ("o_orderkey",))
+    return Placed(_orders(spark, sf_dir), ("o_orderkey",), xml)
 
 
 # All columns a change depends on: rows that tie on them are the same change.
@@ -263,7 +264,7 @@ def revisions(spark: SparkSession, sf_dir: str) -> Placed:
         concat('<PubmedArticle>\\n<MedlineCitation>\\n', {_id('l_partkey')}, '<Article>\\n',
                {_el('ArticleTitle', "l_orderkey, '-', l_linenumber, '-', l_suppkey")},
                '\\n</Article>\\n</MedlineCitation>\\n</PubmedArticle>'))"""
-    return Placed(placed.selectExpr("folder", "file", *CHANGE_KEY, f"{xml} AS xml"), CHANGE_KEY)
+    return Placed(placed.select("folder", "file", *CHANGE_KEY), CHANGE_KEY, xml)
 
 
 def kinds(spark: SparkSession, sf_dir: str) -> Placed:
@@ -287,9 +288,9 @@ def kinds(spark: SparkSession, sf_dir: str) -> Placed:
     name = f"""concat('evt-', if({without}, 'del-', 'art-'),
         lpad(cast(event_id % {file_count(events, 2500)} as string), 6, '0'))"""
     rows = events.selectExpr(
-        "'updatefiles' AS folder", f"{name} AS file", "event_id", f"{xml} AS xml"
+        "'updatefiles' AS folder", f"{name} AS file", "event_id", "event_type", "user_id"
     )
-    return Placed(rows, ("event_id",))
+    return Placed(rows, ("event_id",), xml)
 
 
 Renderer = Callable[[SparkSession, str], Placed]
@@ -307,6 +308,12 @@ def corpus_dir(spark: SparkSession, sf_dir: str, render: Renderer) -> str:
     return _written[key]
 
 
-def corpus(spark: SparkSession, sf_dir: str, render: Renderer, kind: str = ARTICLE) -> DataFrame:
-    """Scanned records of a rendered corpus."""
-    return read_records(spark, corpus_dir(spark, sf_dir, render), folder_name, kind)
+def corpus(
+    spark: SparkSession, sf_dir: str, render: Renderer, kind: str = ARTICLE, phase: int | None = None
+) -> DataFrame:
+    """Scanned records of a rendered corpus, or those of one phase: the condition stands on the
+    path, ahead of the split, so Spark opens that phase's files only."""
+    chunks = read_chunks(spark, corpus_dir(spark, sf_dir, render), kind)
+    if phase is not None:
+        chunks = chunks.where(phase_of(folder_name(F.col("path"))) == phase)
+    return split_records(chunks, folder_name, kind)

@@ -49,8 +49,9 @@ def relative_to(data_dir: str) -> NameRule:
 
 def plain_path() -> Column:
     """Path of a scanned file as it is written; Spark's metadata column gives it URL-encoded."""
-    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    return F.url_decode(encoded)
+    encoded = F.col("_metadata.file_path")
+    decoded = F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(encoded, F.lit("%")), decoded).otherwise(encoded)
 
 
 def phase_of(file: Column) -> Column:
