@@ -61,8 +61,9 @@ def _flat(docs: DataFrame) -> DataFrame:
 # Scans and sources --------------------------------------------------------------------------
 
 
-def _revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return corpus(spark, sf_dir, corpora.revisions)
+def _revisions(spark: SparkSession, sf_dir: str, phase: int | None = None) -> DataFrame:
+    """All records, or those of one phase, whose folder alone is then read."""
+    return corpus(spark, sf_dir, corpora.revisions, phase=phase)
 
 
 @query
@@ -80,9 +81,9 @@ def raw_split_pmid(spark, sf_dir):
     return rec.raw_split(corpus(spark, sf_dir, corpora.texts)).select("file", "pmid")
 
 
-def _change_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _change_stats(spark: SparkSession, sf_dir: str, phase: int | None = None) -> DataFrame:
     """Counts per file as scanned; quantities stand in for seconds."""
-    counts = stats.file_counts(_revisions(spark, sf_dir))
+    counts = stats.file_counts(_revisions(spark, sf_dir, phase))
     lines = corpora.place_changes(table(spark, sf_dir, "lineitem"))
     name = F.concat("folder", F.lit("/"), "file", F.lit(".xml.gz"))
     seconds = lines.groupBy(name.alias("file")).agg(F.sum("l_quantity").alias("duration"))
@@ -90,7 +91,7 @@ def _change_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _baseline_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return led.ledger_rows(_change_stats(spark, sf_dir).where(F.col("phase") == 0))
+    return led.ledger_rows(_change_stats(spark, sf_dir, 0))
 
 
 def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,8 +138,10 @@ def ledger_files(spark, sf_dir):
 # Keyed tables -------------------------------------------------------------------------------
 
 
-def _changes(spark: SparkSession, sf_dir: str, store_raw: bool = False) -> DataFrame:
-    return tab.changes(_revisions(spark, sf_dir), ("title",), store_raw)
+def _changes(
+    spark: SparkSession, sf_dir: str, store_raw: bool = False, phase: int | None = None
+) -> DataFrame:
+    return tab.changes(_revisions(spark, sf_dir, phase), ("title",), store_raw)
 
 
 def _titled(rows: DataFrame) -> DataFrame:
@@ -161,9 +164,8 @@ def upsert_raw(spark, sf_dir):
 @query
 def insert_if_absent(spark, sf_dir):
     """Baseline documents, plus the first update of each id they do not hold."""
-    changes = _changes(spark, sf_dir)
-    target = tab.apply_deletes(changes.where(F.col("phase") == 0))
-    batch = tab.upserts(changes.where(F.col("phase") == 1))
+    target = tab.apply_deletes(_changes(spark, sf_dir, phase=0))
+    batch = tab.upserts(_changes(spark, sf_dir, phase=1))
     return _titled(tab.insert_if_absent(target, batch))
 
 
@@ -593,7 +595,7 @@ def reprocess_store(spark, sf_dir):
 def json_insert_if_absent(spark, sf_dir):
     """Documents of the update files, by way of JSON, into a store of the baseline."""
     store = _loaded(spark, sf_dir, 0)
-    updates = _revisions(spark, sf_dir).where(F.col("phase") == 1)
+    updates = _revisions(spark, sf_dir, 1)
     store.insert_absent(_json_round_trip(spark, documents(updates, DOC_FIELDS)))
     return _store_rows(store)
 

@@ -21,3 +21,37 @@ def test_rows_travel_to_their_files_unrendered(spark, render):
     source = placed.rows.drop("folder", "file").count()
     files = spark.read.text(corpora.corpus_dir(spark, SF, render))
     assert files.where(F.col("value").rlike("^<(Pubmed|Delete|Book|Retr)")).count() >= source
+
+
+def _leaves(plan) -> list:
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _leaves(plan.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return _leaves(plan.plan())
+    children = plan.children()
+    found = [leaf for i in range(children.size()) for leaf in _leaves(children.apply(i))]
+    return found or [plan]
+
+
+def _files_opened(rows) -> int:
+    rows.collect()
+    leaves = _leaves(rows._jdf.queryExecution().executedPlan())
+    scans = [s for s in leaves if s.getClass().getSimpleName() == "FileSourceScanExec"]
+    return sum(s.metrics().apply("numFiles").value() for s in scans)
+
+
+def test_a_phase_opens_its_own_files_only(spark):
+    whole = corpora.corpus(spark, SF, corpora.revisions)
+    parts = [corpora.corpus(spark, SF, corpora.revisions, phase=p) for p in (0, 1)]
+    total = _files_opened(whole.select("file", "kind", "raw_xml"))
+    each = [_files_opened(p.select("file", "kind", "raw_xml")) for p in parts]
+    assert min(each) > 0 and sum(each) == total
+    both = parts[0].unionByName(parts[1]).select("phase", "file", "raw_xml")
+    assert both.exceptAll(whole.select("phase", "file", "raw_xml")).count() == 0
+    assert both.count() == whole.count()
+
+
+def test_insert_if_absent_reads_each_file_once(spark):
+    total = _files_opened(corpora.corpus(spark, SF, corpora.revisions).select("raw_xml"))
+    assert _files_opened(QUERIES["insert_if_absent"](spark, SF)) == total
