@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from citeflow.functions.text import plain
+from citeflow.functions.text import bind, plain
 
 FALLBACK_DATE = "1900-01-01"
 FALLBACK_YEAR = "1900"
@@ -58,14 +58,19 @@ def _parsed(parts: DateParts) -> Column:
     The text is put together and tried as a date, which costs less than parsing by a pattern:
     that raises and drops an exception for every text it cannot read.
     """
-    at = F.position(F.lower(parts.month), F.lit(_MONTHS))
     valid = (
-        parts.day.rlike(_DAY) & parts.year.rlike(_YEAR) & (parts.year != "0000")
-        & (F.length(parts.month) == 3) & (at % 4 == 1)
+        (F.length(parts.month) == 3) & parts.day.rlike(_DAY) & parts.year.rlike(_YEAR) & (parts.year != "0000")
     )
-    month = F.lpad(((at + 3) / 4).cast("int").cast("string"), 2, "0")
-    text = F.concat_ws("-", parts.year, month, F.lpad(parts.day, 2, "0"))
-    return F.when(valid & text.try_cast("date").isNotNull(), text)
+
+    def checked(text: Column) -> Column:
+        return F.when(text.try_cast("date").isNotNull(), text)
+
+    def at_month(at: Column) -> Column:
+        month = F.lpad(((at + 3) / 4).cast("int").cast("string"), 2, "0")
+        text = F.concat_ws("-", parts.year, month, F.lpad(parts.day, 2, "0"))
+        return F.when(at % 4 == 1, bind(text, checked))
+
+    return F.when(valid, bind(F.position(F.lower(parts.month), F.lit(_MONTHS)), at_month))
 
 
 def pub_date(parts: DateParts) -> Column:

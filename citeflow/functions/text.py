@@ -3,21 +3,38 @@
 Spark's XML reader hands over the direct text nodes of an element as an array, but drops nodes
 made of blanks only and does not say whether the first node stands before or after the first
 child. A marker character put into the raw text before parsing settles both: it follows every
-tag that blanks or another opening tag come after. A blank-only node so has a character to keep
+tag that blanks or another opening tag come after, bare tags of the record's containers aside.
+A blank-only node so has a character to keep
 it, and an element that opens with a child has a first node that is the bare marker. The marker
 is a Unicode noncharacter, so no record carries it as text, and it is removed from all results.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MARK = "\ufdd0"
 
-_MARK_AT = r">(?=[ \t\r\n]|<[^/])"
+# Elements that hold elements only: what stands directly inside them is never read as text, and
+# a marker there would cost the parser a text event.
+_CONTAINERS = (
+    "PubmedArticle", "PubmedBookArticle", "MedlineCitation", "PubmedData", "BookDocument", "Article", "Book",
+    "Journal", "JournalIssue", "PubDate", "DateCreated", "Abstract", "AuthorList", "Author", "PublicationTypeList",
+    "ChemicalList", "Chemical", "MeshHeadingList", "MeshHeading", "ArticleIdList", "ReferenceList", "Reference",
+)
+
+
+def _not_after(names: Sequence[str]) -> str:
+    """Lookbehinds of one length each, which cost one comparison."""
+    lengths = sorted({len(n) for n in names})
+    same = ("|".join(n for n in names if len(n) == length) for length in lengths)
+    return "".join(f"(?<![</](?:{alternatives})>)" for alternatives in same)
+
+
+_MARK_AT = r">(?=[ \t\r\n]|<[^/])" + _not_after(_CONTAINERS)
 
 
 def mark(raw: Column) -> Column:

@@ -7,12 +7,13 @@ parsed struct. Ask for the fields a job needs: the parser then builds only those
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeflow.functions.dates import DateParts, created_date, date_parts, pub_date, unparsable
+from citeflow.functions.dates import FALLBACK_DATE, DateParts, created_date, date_parts, pub_date, unparsable
 from citeflow.functions.text import (
     bind, first_text, has_text, html_text, labelled_text, leading_text, mark, plain,
 )
@@ -32,8 +33,11 @@ NO_BOOK_TITLE = "no book title"
 
 
 class _Field(NamedTuple):
+    """``empty`` is what ``build`` makes of a record with none of the paths, where that costs work."""
+
     paths: tuple[str, ...]
     build: Callable[[Column], Column]
+    empty: str | None = None
 
 
 def _at(v: Column, path: str) -> Column:
@@ -152,7 +156,8 @@ def _doi(v: Column) -> Column:
         v[CORRUPT].isNull() & F.contains(raw, F.lit('IdType="doi"')),
         F.nullif(F.expr(f"xpath_string(raw_xml, '{_ANY_DOI}')"), F.lit("")),
     )
-    return F.when(_at(v, "BookDocument").isNull(), F.coalesce(own, first_cited, deeper)).otherwise("")
+    listed = F.when(v["PubmedData"].isNotNull(), F.coalesce(own, first_cited))
+    return F.when(_at(v, "BookDocument").isNull(), F.coalesce(listed, deeper)).otherwise("")
 
 
 # The first doi id in document order whose text is not blank.
@@ -239,7 +244,7 @@ FIELDS = {
     "authors": _Field(
         (f"{_ART}.AuthorList", f"{_BOOK}.AuthorList", "BookDocument.AuthorList"), _authors
     ),
-    "pub_date": _Field(_DATE_PATHS, _pub_date),
+    "pub_date": _Field(_DATE_PATHS, _pub_date, FALLBACK_DATE),
     "journal_iso_title": _Field((f"{_ART}.Journal.ISOAbbreviation",), _journal("ISOAbbreviation")),
     "journal_title": _Field((f"{_ART}.Journal.Title",), _journal("Title")),
     "article_types": _Field((f"{_ART}.PublicationTypeList",), _article_types),
@@ -299,7 +304,11 @@ def with_parsed(records: DataFrame, fields: Sequence[str]) -> DataFrame:
 
 
 def field(v: Column, name: str) -> Column:
-    return FIELDS[name].build(v)
+    rule = FIELDS[name]
+    if rule.empty is None:
+        return rule.build(v)
+    present = (_at(v, path).isNotNull() for path in rule.paths)
+    return F.when(reduce(Column.__or__, present), rule.build(v)).otherwise(rule.empty)
 
 
 def parse_records(records: DataFrame, fields: Sequence[str] = DOC_FIELDS) -> DataFrame:

@@ -55,3 +55,15 @@ def test_a_phase_opens_its_own_files_only(spark):
 def test_insert_if_absent_reads_each_file_once(spark):
     total = _files_opened(corpora.corpus(spark, SF, corpora.revisions).select("raw_xml"))
     assert _files_opened(QUERIES["insert_if_absent"](spark, SF)) == total
+
+
+def test_marker_stays_out_of_containers(spark):
+    raw = (
+        "<Article>\n<AuthorList> <Author> <LastName> x</LastName></Author></AuthorList>\n"
+        "<ArticleTitle><i>a</i> <b>c</b></ArticleTitle></Article>"
+    )
+    marked = spark.range(1).select(mark(F.lit(raw))).first()[0]
+    assert marked.replace(MARK, "|") == (
+        "<Article>\n<AuthorList> <Author> <LastName>| x</LastName></Author></AuthorList>\n"
+        "<ArticleTitle>|<i>a</i>| <b>c</b></ArticleTitle></Article>"
+    )
