@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from citeflow.functions.text import MARK, mark
 from citeflow.operators import documents as docs
 from citeflow.plans import corpora
-from citeflow.plans.queries import QUERIES
+from citeflow.plans.queries import QUERIES, _cut_first
 
 SF = "/root/testdata/sf0.001"
 
@@ -67,3 +67,11 @@ def test_marker_stays_out_of_containers(spark):
         "<Article>\n<AuthorList> <Author> <LastName>| x</LastName></Author></AuthorList>\n"
         "<ArticleTitle>|<i>a</i>| <b>c</b></ArticleTitle></Article>"
     )
+
+
+def test_cut_halves_the_file_once(spark, tmp_path):
+    part = tmp_path / "folder=baseline" / "file=a" / "part-0.txt.gz"
+    part.parent.mkdir(parents=True)
+    part.write_bytes(bytes(1000))
+    _cut_first(spark, str(tmp_path), "baseline")
+    assert part.stat().st_size == 500
