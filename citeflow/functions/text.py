@@ -68,8 +68,10 @@ def has_text(nodes: Column) -> Column:
 
 
 def first_text(nodes: Column) -> Column:
-    """First text node, wherever it stands."""
-    return unmark(F.get(F.filter(nodes, lambda n: n != MARK), F.lit(0)))
+    """First text node, wherever it stands. The list is searched only if a child stands first."""
+    first = F.get(nodes, F.lit(0))
+    searched = F.get(F.filter(nodes, lambda n: n != MARK), F.lit(0))
+    return unmark(F.coalesce(F.when(first != MARK, first), searched))
 
 
 def leading_text(nodes: Column) -> Column:

@@ -37,7 +37,7 @@ class _Field(NamedTuple):
 
     paths: tuple[str, ...]
     build: Callable[[Column], Column]
-    empty: str | None = None
+    empty: Callable[[], Column] | None = None
 
 
 def _at(v: Column, path: str) -> Column:
@@ -50,6 +50,10 @@ def _empty(element: str) -> Column:
     return F.array().cast(f"ARRAY<{element}>")
 
 
+def _blank() -> Column:
+    return F.lit("")
+
+
 def _title(v: Column) -> Column:
     titles = (f"{_ART}.ArticleTitle", f"{_ART}.BookTitle", f"{_BOOK}.BookTitle")
     return F.coalesce(*(first_text(_at(v, t)["_VALUE"]) for t in titles), F.lit(""))
@@ -240,17 +244,18 @@ _DATE_PATHS = (f"{_ART}.Journal.JournalIssue", f"{_BOOK}.PubDate")
 
 FIELDS = {
     "title": _Field(_TITLE_PATHS, _title),
-    "abstract": _Field((f"{_ART}.Abstract", "BookDocument.Abstract"), _abstract),
+    "abstract": _Field((f"{_ART}.Abstract", "BookDocument.Abstract"), _abstract, _blank),
     "authors": _Field(
-        (f"{_ART}.AuthorList", f"{_BOOK}.AuthorList", "BookDocument.AuthorList"), _authors
+        (f"{_ART}.AuthorList", f"{_BOOK}.AuthorList", "BookDocument.AuthorList"), _authors,
+        lambda: _empty("STRING"),
     ),
-    "pub_date": _Field(_DATE_PATHS, _pub_date, FALLBACK_DATE),
-    "journal_iso_title": _Field((f"{_ART}.Journal.ISOAbbreviation",), _journal("ISOAbbreviation")),
-    "journal_title": _Field((f"{_ART}.Journal.Title",), _journal("Title")),
-    "article_types": _Field((f"{_ART}.PublicationTypeList",), _article_types),
+    "pub_date": _Field(_DATE_PATHS, _pub_date, lambda: F.lit(FALLBACK_DATE)),
+    "journal_iso_title": _Field((f"{_ART}.Journal.ISOAbbreviation",), _journal("ISOAbbreviation"), _blank),
+    "journal_title": _Field((f"{_ART}.Journal.Title",), _journal("Title"), _blank),
+    "article_types": _Field((f"{_ART}.PublicationTypeList",), _article_types, lambda: _empty("STRING")),
     "doi": _Field(("PubmedData",), _doi),
-    "compounds": _Field(("MedlineCitation.ChemicalList",), _compounds),
-    "mesh": _Field((_MESH_PATH, "MedlineCitation.ChemicalList"), _mesh),
+    "compounds": _Field(("MedlineCitation.ChemicalList",), _compounds, lambda: _empty(TERM)),
+    "mesh": _Field((_MESH_PATH, "MedlineCitation.ChemicalList"), _mesh, lambda: _empty(TERM)),
     # Other projections of the same records.
     "full_title": _Field(_TITLE_PATHS, _full_title),
     "own_doi": _Field(("PubmedData.ArticleIdList",), _own_doi),
@@ -308,7 +313,7 @@ def field(v: Column, name: str) -> Column:
     if rule.empty is None:
         return rule.build(v)
     present = (_at(v, path).isNotNull() for path in rule.paths)
-    return F.when(reduce(Column.__or__, present), rule.build(v)).otherwise(rule.empty)
+    return F.when(reduce(Column.__or__, present), rule.build(v)).otherwise(rule.empty())
 
 
 def parse_records(records: DataFrame, fields: Sequence[str] = DOC_FIELDS) -> DataFrame:

@@ -33,7 +33,7 @@ from citeflow.operators.tables import (
 )
 from citeflow.operators.stats import of_ledger
 from citeflow.schema import ARTICLE, CHANGE, DELETE, DOC, LEDGER, SETTINGS
-from citeflow.sources.records import NameRule, damaged, phase_of, read_checked, relative_to
+from citeflow.sources.records import NameRule, damaged, phase_of, read_checked, relative_to, silent
 
 # Gzip bytes to a partition when records are spread: some hundred megabytes of XML.
 SPREAD_BYTES = 16 << 20
@@ -278,12 +278,18 @@ class CitationStore:
         found = changes(records, store_raw=store_raw, seq=seq, choose=choose)
         found.write.options(**_STATIC).mode("overwrite").parquet(path)
         seconds = time.monotonic() - start
-        bad = damaged(seen, listed) if seen is not None else []
+        written = self.spark.read.schema(f"{CHANGE}, read_ns BIGINT").parquet(path)
+        bad: list[str] = []
+        if seen is not None:
+            unread = silent(seen, listed)
+            if unread:
+                gave = written.where(F.col("file").isin(unread)).select("file").distinct().collect()
+                unread = sorted(set(unread) - {r.file for r in gave})
+            bad = damaged(seen, unread)
         if bad:
             self.spark.createDataFrame([(f,) for f in bad], "file STRING").coalesce(1).write.mode("overwrite") \
                 .parquet(self._path("damaged", f"batch={batch}"))
 
-        written = self.spark.read.schema(f"{CHANGE}, read_ns BIGINT").parquet(path)
         articles = F.count_if(F.col("op").isin(UPSERT, QUARANTINED))
         # A task's clock readings of a file part span all its rows but the last: scaled by n / (n - 1).
         n = F.count("read_ns")

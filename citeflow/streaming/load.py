@@ -35,7 +35,7 @@ def stream_load(
         kept = store.spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first().value
         name = f"stream-{stream}-{json.loads(kept)['id']}-{epoch:09d}"
         done = store.ledger().select(F.col("fn").alias("file"))
-        chunks, seen = observed(clocked(batch), rule)
+        chunks, seen = observed(clocked(batch), rule, kind)
         records = split_records(chunks, rule, kind).join(done, "file", "left_anti")
         store.write_batch(name, records, store_raw=store_raw, choose=choose, seen=seen)
 

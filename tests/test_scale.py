@@ -3,13 +3,18 @@ for the parser and what a path expression reads."""
 
 from __future__ import annotations
 
+import gzip
+
 import pytest
 from pyspark.sql import functions as F
 
-from citeflow.functions.text import MARK, mark
+from citeflow.functions.text import MARK, first_text, mark
 from citeflow.operators import documents as docs
+from citeflow.operators.tables import changes
 from citeflow.plans import corpora
 from citeflow.plans.queries import QUERIES, _cut_first
+from citeflow.plans.store import CitationStore
+from citeflow.sources.records import read_checked
 
 SF = "/root/testdata/sf0.001"
 
@@ -75,3 +80,31 @@ def test_cut_halves_the_file_once(spark, tmp_path):
     part.write_bytes(bytes(1000))
     _cut_first(spark, str(tmp_path), "baseline")
     assert part.stat().st_size == 500
+
+
+def test_a_file_is_named_once_per_chunk(spark, tmp_path):
+    (tmp_path / "a.xml").write_text("<PubmedArticle></PubmedArticle>")
+    records, _ = read_checked(spark, [str(tmp_path)], lambda path: F.concat(F.lit("NAMED"), path))
+    plan = changes(records)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("NAMED") == 1
+
+
+def test_file_of_whole_records_alone_is_not_damaged(spark, tmp_path):
+    """No chunk but whole records: the observation names nothing, the changes name the file."""
+    record = (
+        '<PubmedArticle><MedlineCitation><PMID Version="1">1</PMID><Article><ArticleTitle>t</ArticleTitle>'
+        "</Article></MedlineCitation></PubmedArticle>"
+    )
+    (tmp_path / "data").mkdir()
+    for name, text in (("a", record), ("b", ""), ("c", record + "\n")):
+        (tmp_path / "data" / f"{name}.xml.gz").write_bytes(gzip.compress(text.encode()))
+    store = CitationStore.create(spark, str(tmp_path / "store"), buckets=2)
+    store.load(str(tmp_path / "data"))
+    assert [r.file for r in store.bad_files().collect()] == ["b.xml.gz"]
+    assert {r.fn for r in store.ledger().collect()} == {"a.xml.gz", "c.xml.gz"}
+
+
+def test_first_text_searches_only_behind_a_child(spark):
+    rows = spark.createDataFrame(
+        [([MARK, "x"],), (["a" + MARK, "b"],), ([MARK],), ([],), (None,)], "nodes ARRAY<STRING>")
+    assert [r[0] for r in rows.select(first_text(F.col("nodes"))).collect()] == ["x", "a", None, None, None]
