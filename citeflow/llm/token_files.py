@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,8 @@ END_ID = 2
 # Pieces kept between texts by a worker, twice as many at most, about 200 bytes each.
 CACHED_PIECES = 400_000
 MAX_CACHED_CHARS = 48
+# Text encoded at a time: its words are looked up once each.
+GROUP_BYTES = 1 << 22
 # Tokens read from a map at a time.
 READ_TOKENS = 1 << 20
 
@@ -70,6 +73,9 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
+        # Ids whose token begins with a blank, as a byte-level vocabulary writes it.
+        self.starts = np.zeros(1 + max(self.tokenizer.get_vocab().values(), default=0), bool)
+        self.starts[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("Ġ")]] = True
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
@@ -77,6 +83,25 @@ class Encoder:
             return [array(self.code, e.ids).tobytes() for e in found]
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of " " + word for each word. Words without white space are encoded in one text and
+        told apart by the tokens that begin with a blank; the others, or all if the vocabulary
+        writes blanks otherwise, one by one."""
+        joined = " ".join(words)
+        if joined.split() == words and not (self.added is not None and self.added.search(joined)):
+            found = self.tokenizer.encode_batch_fast([" " + joined], add_special_tokens=False)[0].ids
+            ids = np.array(found, self.dtype)
+            cuts = np.flatnonzero(self.starts[ids])
+            if len(cuts) == len(words) and cuts[0] == 0:
+                data, size = ids.tobytes(), self.dtype.itemsize
+                bounds = [*(cuts * size).tolist(), len(data)]
+                return [data[a:b] for a, b in zip(bounds, bounds[1:])]
+        elif any(plain := [w.split() == [w] for w in words]) and not all(plain):
+            near = iter(self._encode_words([w for w, ok in zip(words, plain) if ok]))
+            rest = iter(self._encode([" " + w for w, ok in zip(words, plain) if not ok]))
+            return [next(near if ok else rest) for ok in plain]
+        return self._encode([" " + w for w in words])
+
     def _learn(self, new: set[str]) -> None:
         known, older = self.known, self.older
         parts, asked = {}, set()
@@ -93,7 +118,8 @@ class Encoder:
                     self.tails.clear()
                 self.tails[tail] = self._encode([tail])[0]
         bases = list(asked)
-        known.update(zip(bases, self._encode([" " + b for b in bases])))
+        if bases:
+            known.update(zip(bases, self._encode_words(bases)))
         for piece, (base, tail) in parts.items():
             if tail:
                 start = known.get(base)
@@ -114,8 +140,43 @@ class Encoder:
                     del self.known[p]
         return found
 
+    def _whole(self, text: str) -> bool:
+        return bool(_RARE.search(text) or (self.added is not None and self.added.search(text)))
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text, null as empty, in groups of texts."""
+        step = max(1, len(texts) * GROUP_BYTES // max(1, texts.nbytes))
+        for first in range(0, len(texts), step):
+            yield from self._encode_group(texts.slice(first, step))
+
+    def _encode_group(self, texts: pa.Array) -> list[bytes]:
+        """As :meth:`encode`, but a word that comes again in the group is looked up once."""
+        texts = texts.fill_null("")
+        bodies = texts.to_pylist()
+        plain = [not any(odd in t for odd in _ODD) and not self._whole(t) for t in bodies]
+        pieces = pc.split_pattern(texts.filter(pa.array(plain, pa.bool_())), " ")
+        if not len(pieces):
+            return [self.encode(t) for t in bodies]
+        offsets = pieces.offsets.to_numpy().astype(np.int64)
+        coded = pieces.flatten().dictionary_encode()
+        places, firsts = coded.indices.to_numpy(), offsets[:-1] - offsets[0]
+        words = coded.dictionary.to_pylist()
+        heads = iter(self._encode([words[k] for k in places[firsts]]))
+        found = self._after_blank(words)
+        ids = np.frombuffer(b"".join(found), self.dtype)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        begins = np.cumsum(sizes) - sizes
+        # A text's first piece has no blank before it; its ids are its head.
+        taken = sizes[places]
+        taken[firsts] = 0
+        ends = np.cumsum(taken)
+        data = ids[np.repeat(begins[places] - ends + taken, taken) + np.arange(ends[-1])].tobytes()
+        bounds = np.concatenate([[0], ends])[offsets - offsets[0]] * self.dtype.itemsize
+        tails = (data[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+        return [next(heads) + next(tails) if ok else self.encode(t) for t, ok in zip(bodies, plain)]
+
     def encode(self, text: str) -> bytes:
-        if _RARE.search(text) or (self.added is not None and self.added.search(text)):
+        if self._whole(text):
             return self._encode([text])[0]
         if any(odd in text for odd in _ODD):
             pieces = _PIECE.findall(text)
@@ -168,8 +229,8 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, doc_id: str = "doc_id
             nulls += batch.column(0).null_count
             ids.append(batch.column(0).fill_null(0).to_numpy().astype("<i8"))
             sizes = []
-            for body in batch.column(1):
-                encoded = coder.encode(body.as_py() or "") + end
+            for body in coder.encode_all(batch.column(1)):
+                encoded = body + end
                 shard.write(encoded)
                 sizes.append(len(encoded) // width)
             ends = at + np.cumsum(np.array(sizes, "<u8"), dtype="<u8")

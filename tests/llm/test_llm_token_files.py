@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from citeflow.llm import token_files
@@ -65,3 +66,26 @@ def test_odd_rows_round_trip(spark, odd_docs, no_docs, plain):
     assert [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got])[:-1].tolist()
     empty = token_files.write(no_docs, new_dir(spark, "t"), TOKENIZER)
     assert token_files.read_checksums(empty).count() == 0
+
+
+def test_groups_of_texts_encode_as_the_library_does():
+    """Words of a group are given to the library in few texts, and no id changes by it."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coder = token_files.Encoder(path)
+    texts = [
+        None, "", " ", "a", " a", "a ", "one two, two. it's don't", "x  y", "x\ny z\n", "Ġ Ġx é日本 🙂",
+        "tab\there", "a b c", "\r\nq w", "<|endoftext|> end", " ".join(f"word{i}" for i in range(300)),
+    ]
+    given = []
+    encode = coder._encode
+
+    def counted(pieces):
+        given.extend(pieces)
+        return encode(pieces)
+
+    coder._encode = counted
+    found = list(coder.encode_all(pa.array(texts)))
+    for text, ids in zip(texts, found):
+        whole = coder.tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(ids, coder.dtype).tolist() == whole
+    assert len(given) < 100
