@@ -20,6 +20,7 @@ import sys
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +31,11 @@ from pyspark.sql import functions as F
 from citeflow.llm.files import attempt_name, make_dir, open_read, open_write
 
 END_ID = 2
-# Pieces kept between texts by a worker, twice as many at most, about 200 bytes each.
-CACHED_PIECES = 400_000
+# Parts of words kept between texts by a worker, twice as many at most, about 200 bytes each.
+CACHED_PIECES = 600_000
 MAX_CACHED_CHARS = 48
 # Text encoded at a time: its words are looked up once each.
-GROUP_BYTES = 1 << 22
+GROUP_BYTES = 1 << 23
 # Tokens read from a map at a time.
 READ_TOKENS = 1 << 20
 
@@ -47,16 +48,29 @@ MANIFEST = "shard INT, path STRING, width INT, docs BIGINT, tokens BIGINT, null_
 # Two blanks in a row, where the vocabulary's splitting depends on the first of them.
 _ODD = ("  ", " \n", "\n ", "\t", "\r")
 _PIECE = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
-# A piece that ends in a letter and then ASCII marks (no apostrophe): the marks are ids of their own.
-_TAIL = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+# Marks after a letter (ASCII, no apostrophe) are ids of their own.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_LETTERS = pa.array([c for c in map(chr, range(65, 256)) if c.isalpha() and c not in "ªµº"])
+
+
+def _listed(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()
+
+
+def _runs(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``flat[begin:begin + size]`` of each run, one after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(begins - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 class Encoder:
-    """Token ids of whole texts as bytes; pieces that come again are encoded once.
+    """Token ids of whole texts as bytes; parts of words that come again are encoded once.
 
     The vocabulary splits texts before its merges, and never joins a character that is no white
     space to a blank after it. So the pieces between single blanks can be encoded apart, each
-    with the blank before it.
+    with the blank before it. A single line end between other characters is an id of its own and
+    what follows is split as at the start of a text; where a vocabulary does otherwise, pieces with
+    line ends are encoded whole.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -69,10 +83,15 @@ class Encoder:
         self.added = re.compile("|".join(map(re.escape, names))) if names else None
         self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
-        # Ids of " " + piece: those of late, and those of before, which are forgotten next.
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
+        # Places of the parts in ``ids``: a part after a blank, or after a line end ("\n" + part).
+        # Those of late, and those of before, which are forgotten next.
+        self.known, self.older = self._none(), self._none()
+        self.tails: dict[str, np.ndarray] = {"": np.zeros(0, self.dtype)}
+        self.line = np.array(self._ids("\n"), self.dtype)
+        self.lines = len(self.line) == 1 and all(
+            self._ids(f"{x}\n{y}") == [*self._ids(x), *self.line.tolist(), *self._ids(y)]
+            for x in ("a", " a.", "1", "é") for y in ("B", ".b", "'s", "2", "é")
+        )
         # Ids whose token begins with a blank, as a byte-level vocabulary writes it.
         self.starts = np.zeros(1 + max(self.tokenizer.get_vocab().values(), default=0), bool)
         self.starts[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("Ġ")]] = True
@@ -83,62 +102,129 @@ class Encoder:
             return [array(self.code, e.ids).tobytes() for e in found]
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Ids of " " + word for each word. Words without white space are encoded in one text and
-        told apart by the tokens that begin with a blank; the others, or all if the vocabulary
-        writes blanks otherwise, one by one."""
-        joined = " ".join(words)
-        if joined.split() == words and not (self.added is not None and self.added.search(joined)):
-            found = self.tokenizer.encode_batch_fast([" " + joined], add_special_tokens=False)[0].ids
-            ids = np.array(found, self.dtype)
-            cuts = np.flatnonzero(self.starts[ids])
-            if len(cuts) == len(words) and cuts[0] == 0:
-                data, size = ids.tobytes(), self.dtype.itemsize
-                bounds = [*(cuts * size).tolist(), len(data)]
-                return [data[a:b] for a, b in zip(bounds, bounds[1:])]
-        elif any(plain := [w.split() == [w] for w in words]) and not all(plain):
-            near = iter(self._encode_words([w for w, ok in zip(words, plain) if ok]))
-            rest = iter(self._encode([" " + w for w, ok in zip(words, plain) if not ok]))
-            return [next(near if ok else rest) for ok in plain]
-        return self._encode([" " + w for w in words])
-
-    def _learn(self, new: set[str]) -> None:
-        known, older = self.known, self.older
-        parts, asked = {}, set()
-        for piece in new:
-            if piece in older:
-                known[piece] = older[piece]
-                continue
-            cut = _TAIL.fullmatch(piece)
-            parts[piece] = base, tail = cut.groups() if cut else (piece, "")
-            if base not in known and base not in older:
-                asked.add(base)
-            if tail not in self.tails:
-                if len(self.tails) >= CACHED_PIECES:
-                    self.tails.clear()
-                self.tails[tail] = self._encode([tail])[0]
-        bases = list(asked)
-        if bases:
-            known.update(zip(bases, self._encode_words(bases)))
-        for piece, (base, tail) in parts.items():
-            if tail:
-                start = known.get(base)
-                ids = self.tails.get(tail) or self._encode([tail])[0]
-                known[piece] = (older[base] if start is None else start) + ids
-
-    def _after_blank(self, pieces: list[str]) -> list[bytes]:
-        """Ids of each piece with a blank before it."""
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            new = {p for p, f in zip(pieces, found) if f is None}
-            if len(self.known) + 2 * len(new) > CACHED_PIECES:
-                self.known, self.older, new = {}, self.known, set(pieces)
-            self._learn(new)
-            found = list(map(self.known.__getitem__, pieces))
-            for p in new:
-                if len(p) > MAX_CACHED_CHARS:
-                    del self.known[p]
-        return found
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _none(self) -> tuple[dict[str, int], np.ndarray, np.ndarray]:
+        """Parts by number, their ids one after the other, and where each part's begin."""
+        return {}, np.zeros(0, self.dtype), np.zeros(1, np.int64)
+
+    def _joined(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        return np.frombuffer(b"".join(found), self.dtype), sizes
+
+    def _encode_parts(self, parts: list[str], before: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``before + part`` for each part, or of the part alone if ``before`` is a line end,
+        and how many. Parts without white space are encoded in one text and told apart by the ids
+        that begin with a blank, or that are line ends; else one by one."""
+        joined = before.join(parts)
+        if joined.split() == parts and not (self.added is not None and self.added.search(joined)):
+            text = joined if before == "\n" else before + joined
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            if before == "\n":
+                ends = np.flatnonzero(ids == self.line[0])
+                if len(ends) == len(parts) - 1:
+                    return np.delete(ids, ends), np.diff(np.r_[-1, ends, len(ids)]) - 1
+            else:
+                cuts = np.flatnonzero(self.starts[ids])
+                if len(cuts) == len(parts) and cuts[0] == 0:
+                    return ids, np.diff(np.r_[cuts, len(ids)])
+        return self._joined(self._encode(parts if before == "\n" else [before + p for p in parts]))
+
+    def _learn(self, new: list[str]) -> None:
+        """Puts parts that are not known there, from the older ones or the vocabulary."""
+        if not new:
+            return
+        known, ids, begins = self.known
+        older, old_ids, old_begins = self.older
+        places = np.fromiter(map(older.get, new, repeat(-1)), np.int64, len(new))
+        kinds = [[p for p, at in zip(new, places.tolist()) if at >= 0], [], []]
+        for p, at in zip(new, places.tolist()):
+            if at < 0:
+                kinds[1 + (p[:1] == "\n")].append(p)
+        places = places[places >= 0]
+        sizes = old_begins[places + 1] - old_begins[places]
+        gained = [(_runs(old_ids, old_begins[places], sizes), sizes)]
+        for parts, before in ((kinds[1], " "), ([p[1:] for p in kinds[2]], "\n")):
+            if parts:
+                gained.append(self._encode_parts(parts, before))
+        count = len(begins) - 1
+        known.update(zip([p for parts in kinds for p in parts], range(count, count + len(new))))
+        ends = begins[-1] + np.cumsum(np.concatenate([n for _, n in gained]))
+        self.known = known, np.concatenate([ids, *(g for g, _ in gained)]), np.concatenate([begins, ends])
+
+    def _parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and each part's begin and size in them; the parts are distinct."""
+        places = np.fromiter(map(self.known[0].get, parts, repeat(-1)), np.int64, len(parts))
+        missed = np.flatnonzero(places < 0)
+        if len(self.known[0]) + len(missed) > CACHED_PIECES:
+            self.known, self.older, missed = self._none(), self.known, np.arange(len(parts))
+        new = [parts[k] for k in missed.tolist()]
+        far = [p for p in new if len(p) > MAX_CACHED_CHARS]
+        self._learn([p for p in new if len(p) <= MAX_CACHED_CHARS] if far else new)
+        kept = len(self.known[0])
+        if far:  # last, and forgotten at once
+            self._learn(far)
+        known, ids, begins = self.known
+        places[missed] = np.fromiter(map(known.__getitem__, new), np.int64, len(new))
+        for p in far:
+            del known[p]
+        self.known = known, ids[:begins[kept]], begins[:kept + 1]
+        return ids, begins[places], begins[places + 1] - begins[places]
+
+    def _after_blank(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each piece with a blank before it, one after the other, and how many."""
+        cut = pc.split_pattern(pieces, "\n")
+        counts = np.diff(cut.offsets.to_numpy()).astype(np.int64)
+        parts = cut.flatten()
+        owner = np.repeat(np.arange(len(pieces)), counts)
+        whole = np.zeros(len(pieces), bool)
+        whole[owner[pc.equal(pc.binary_length(parts), 0).to_numpy(zero_copy_only=False)]] = True
+        if not self.lines:
+            whole |= counts > 1
+        far_ids, far_sizes = self._joined(self._encode([" " + p for p in pieces.filter(pa.array(whole)).to_pylist()]))
+        near = ~whole[owner]
+        parts, owner = parts.filter(pa.array(near)), owner[near]
+        first = np.r_[True, owner[1:] != owner[:-1]][:len(owner)]
+        # A part that ends in a letter and then marks is two.
+        bare = pc.utf8_rtrim(parts, characters=_MARKS)
+        two = pc.and_(pc.not_equal(pc.binary_length(bare), pc.binary_length(parts)),
+                      pc.is_in(pc.utf8_slice_codeunits(bare, -1), value_set=_LETTERS.cast(parts.type)))
+        base = pc.if_else(two, bare, parts)
+        kind = pc.if_else(pa.array(first, pa.bool_()), "", "\n").cast(parts.type)
+        coded = pc.binary_join_element_wise(kind, base, pa.scalar("", parts.type)).dictionary_encode()
+        ids, begins, sizes = self._parts(_listed(coded.dictionary))
+        places = coded.indices.to_numpy()
+        # The marks' ids.
+        marked = np.flatnonzero(two.to_numpy(zero_copy_only=False))
+        tails = [part[len(start):] for part, start in zip(_listed(parts.filter(two)), _listed(bare.filter(two)))]
+        names = ["", *set(tails)]
+        asked = [t for t in names if t not in self.tails]
+        if len(self.tails) + len(asked) > CACHED_PIECES:
+            self.tails, asked = {"": self.tails[""]}, [t for t in names if t]
+        for t, found in zip(asked, self._encode(asked)):
+            self.tails[t] = np.frombuffer(found, self.dtype)
+        tail_ids = [self.tails[t] for t in names]
+        number = {t: k for k, t in enumerate(names)}
+        tail_at = np.zeros(len(parts), np.int64)
+        tail_at[marked] = np.fromiter(map(number.__getitem__, tails), np.int64, len(tails))
+        tail_sizes = np.fromiter(map(len, tail_ids), np.int64, len(tail_ids))
+        tail_begins = np.cumsum(tail_sizes) - tail_sizes
+        # Each part: its line end, itself, its marks.
+        flat = np.concatenate([self.line, ids, *tail_ids])
+        at = np.stack([np.zeros(len(parts), np.int64), begins[places] + len(self.line),
+                       tail_begins[tail_at] + len(self.line) + len(ids)], 1).ravel()
+        many = np.stack([np.where(first, 0, len(self.line)), sizes[places], tail_sizes[tail_at]], 1)
+        near_ids = _runs(flat, at, many.ravel())
+        near_sizes = np.bincount(owner, many.sum(1), len(pieces)).astype(np.int64)
+        # Pieces encoded whole stand between the others.
+        if not len(far_sizes):
+            return near_ids, near_sizes
+        out = near_sizes.copy()
+        out[whole] = far_sizes
+        starts = np.cumsum(near_sizes) - near_sizes
+        starts[whole] = len(near_ids) + np.cumsum(far_sizes) - far_sizes
+        return _runs(np.concatenate([near_ids, far_ids]), starts, out), out
 
     def _whole(self, text: str) -> bool:
         return bool(_RARE.search(text) or (self.added is not None and self.added.search(text)))
@@ -160,17 +246,14 @@ class Encoder:
         offsets = pieces.offsets.to_numpy().astype(np.int64)
         coded = pieces.flatten().dictionary_encode()
         places, firsts = coded.indices.to_numpy(), offsets[:-1] - offsets[0]
-        words = coded.dictionary.to_pylist()
-        heads = iter(self._encode([words[k] for k in places[firsts]]))
-        found = self._after_blank(words)
-        ids = np.frombuffer(b"".join(found), self.dtype)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.dtype.itemsize
+        heads = iter(self._encode(coded.dictionary.take(coded.indices.take(pa.array(firsts))).to_pylist()))
+        ids, sizes = self._after_blank(coded.dictionary)
         begins = np.cumsum(sizes) - sizes
         # A text's first piece has no blank before it; its ids are its head.
         taken = sizes[places]
         taken[firsts] = 0
         ends = np.cumsum(taken)
-        data = ids[np.repeat(begins[places] - ends + taken, taken) + np.arange(ends[-1])].tobytes()
+        data = _runs(ids, begins[places], taken).tobytes()
         bounds = np.concatenate([[0], ends])[offsets - offsets[0]] * self.dtype.itemsize
         tails = (data[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()))
         return [next(heads) + next(tails) if ok else self.encode(t) for t, ok in zip(bodies, plain)]
@@ -181,11 +264,16 @@ class Encoder:
         if any(odd in text for odd in _ODD):
             pieces = _PIECE.findall(text)
             plain = [len(p) > 1 and p[0] == " " and p[1] not in " \n\t\r" for p in pieces]
-            near = iter(self._after_blank([p[1:] for p, ok in zip(pieces, plain) if ok]))
+            near = iter(self._one_by_one([p[1:] for p, ok in zip(pieces, plain) if ok]))
             rest = iter(self._encode([p for p, ok in zip(pieces, plain) if not ok]))
             return b"".join([next(near if ok else rest) for ok in plain])
         first, *pieces = text.split(" ")
-        return b"".join([*self._encode([first]), *self._after_blank(pieces)])
+        return b"".join([*self._encode([first]), *self._one_by_one(pieces)])
+
+    def _one_by_one(self, pieces: list[str]) -> list[bytes]:
+        ids, sizes = self._after_blank(pa.array(pieces, pa.string()))
+        data, bounds = ids.tobytes(), np.concatenate([[0], np.cumsum(sizes)]) * self.dtype.itemsize
+        return [data[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
 _encoders: dict[str, Encoder] = {}

@@ -89,3 +89,19 @@ def test_groups_of_texts_encode_as_the_library_does():
         whole = coder.tokenizer.encode(text or "", add_special_tokens=False).ids
         assert np.frombuffer(ids, coder.dtype).tolist() == whole
     assert len(given) < 100
+
+
+def test_words_around_line_ends_are_learned_apart(plain, monkeypatch):
+    """Every line gives another pair of words; each word is given to the library once, not each pair."""
+    monkeypatch.setattr(token_files, "CACHED_PIECES", 200)
+    coder = token_files.Encoder(TOKENIZER)
+    rng = random.Random(11)
+    words = ["one", "Two.", "x'", "é,", "日本", "+", "don't", "4", *(f"w{i}" for i in range(30))]
+    texts = ["\n".join(f"{rng.choice(words)} {rng.choice(words)}" for _ in range(50)) for _ in range(20)]
+    texts += ["a\n\nb c\n\n\nd", "\nq w\n", "a " + "y" * 60 + "\n" + "z" * 60, None, "Ġ\nĠx y\n'"]
+    given = []
+    encode = coder._encode
+    coder._encode = lambda pieces: given.extend(pieces) or encode(pieces)
+    for text, ids in zip(texts, coder.encode_all(pa.array(texts))):
+        assert np.frombuffer(ids, coder.dtype).tolist() == plain(text or "")
+    assert len(given) < 100  # heads, marks and the odd ones
