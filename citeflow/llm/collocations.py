@@ -4,8 +4,13 @@ Every word occurrence starts a suffix of its piece; cut at ``depth`` words it is
 piece's suffix tree, and the leaf's total is how often that truncated suffix occurs. A phrase's
 count is the sum of the totals of the leaves below its node.
 
-1. Leaf totals per language: one aggregate, combined before the shuffle, so a frequent phrase
-   costs one row per task.
+0. Pruning: every phrase of up to ``depth`` words counts in one of many hashed buckets. No phrase of
+   a bucket that holds fewer than ``min_count`` occurrences is frequent, so a leaf ends before the
+   first phrase of such a bucket. A frequent phrase keeps all its occurrences, whatever shares its
+   bucket; a full bucket prunes less and changes no result. Buckets follow the input's bytes up to
+   2^31, are summed shard by shard, and their bits are files that tasks read.
+1. Leaf totals per language: summed over the words of a group of texts first, then one aggregate,
+   combined before the shuffle, so a frequent phrase costs one row per task.
 2. Vertical partitioning: leaves are filed under their first word. A first word whose subtree
    holds more than ``budget`` leaves is split by its first two words, and those by all three,
    so no unit is larger than the budget unless it is a single leaf. Units, sorted, are packed
@@ -28,21 +33,26 @@ an empty table, or one without a phrase often enough, gives no rows; extra colum
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from citeflow.llm.files import attempt_name, make_dir, open_read, open_write
 from citeflow.llm.graph import stored
+from citeflow.plans.workspace import new_dir
 
 # Fixed values of the operator's contract.
-PIECE = r"[.,;:!?\x0A-\x0D]"
-WORD = r"[^\x20\x09]+"
+PIECE = b".,;:!?\n\x0b\x0c\r"
+BLANK = b" \t"
 DEPTH = 3
 MIN_COUNT = 10
 SHARE = 50
@@ -52,21 +62,186 @@ UNKNOWN = "und"
 BUDGET = 1 << 20
 SLICES = 64
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Text taken at a time.
+GROUP_BYTES = 1 << 22
+# Bytes of text for each bucket, the most buckets there are, and those of a shard.
+BUCKET_BYTES, MOST_BITS, SHARD_BITS = 12, 31, 20
+
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
+_KIND = np.array([2 if b in PIECE else 1 if b in BLANK else 0 for b in range(256)], np.uint8)
+
+
+class _Words:
+    """The words of a group of texts: ``codes`` into the distinct ones, language codes, piece numbers."""
+
+    def __init__(self, texts: pa.Array, langs: pa.Array):
+        lines = pc.binary_join_element_wise(texts.fill_null("").cast(pa.string()), "", "\n")  # ends the last piece
+        offsets = np.frombuffer(lines.buffers()[1], np.int32)[:len(lines) + 1]
+        data = np.frombuffer(lines.buffers()[2], np.uint8)[:offsets[-1]]
+        kind = _KIND[data]
+        word = kind == 0
+        edge = np.flatnonzero(np.diff(word, prepend=False))
+        starts, sizes = edge[::2], edge[1::2] - edge[::2]
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(sizes), pa.py_buffer(ends), pa.py_buffer(_LOWER[data[word]]))
+        coded, named = words.dictionary_encode(), langs.fill_null(UNKNOWN).cast(pa.string()).dictionary_encode()
+        self.distinct, self.codes = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        self.named = named.dictionary
+        self.langs = named.indices.to_numpy()[np.searchsorted(offsets, starts, "right") - 1].astype(np.int64)
+        self.pieces = np.cumsum(kind == 2)[starts]
+
+    def longer(self, at: np.ndarray, d: int) -> np.ndarray:
+        """Those of the places from which the piece holds ``d`` words."""
+        at = at[at < len(self.codes) - d + 1]
+        return at[self.pieces[at + d - 1] == self.pieces[at]]
+
+    def buckets(self, bits: int):
+        """For a place and a number of words, one more at each call, the phrase's bucket."""
+        hashed = lambda names: np.fromiter(
+            map(xxhash.xxh64_intdigest, names.to_numpy(zero_copy_only=False)), np.uint64, len(names))
+        words, state = hashed(self.distinct), hashed(self.named)[self.langs]
+
+        def step(at: np.ndarray, d: int) -> np.ndarray:
+            h = state[at] * np.uint64(0x9E3779B97F4A7C15) + words[self.codes[at + d - 1]]
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            state[at] = h ^ (h >> np.uint64(29))
+            return (state[at] >> np.uint64(64 - bits)).astype(np.uint32)
+
+        return step
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[_Words]:
+    for batch in batches:
+        step = max(1, batch.num_rows * GROUP_BYTES // max(1, batch.nbytes))
+        for first in range(0, batch.num_rows, step):
+            words = _Words(batch.column(0).slice(first, step), batch.column(1).slice(first, step))
+            if len(words.codes):
+                yield words
+
+
+def _packed_counts(buckets: np.ndarray, most: int) -> Iterator[tuple[int, bytes]]:
+    """Shard and counts, at most ``most`` each: the buckets' distances in planes of bytes, then the counts."""
+    found, counts = np.unique(buckets, return_counts=True)
+    shards = found >> np.uint32(SHARD_BITS)
+    edges = np.flatnonzero(np.diff(shards, prepend=shards[0] + 1, append=shards[-1] + 1))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        gaps = np.diff(found[a:b] & np.uint32((1 << SHARD_BITS) - 1), prepend=np.uint32(0)).astype("<u4")
+        body = gaps.view(np.uint8).reshape(-1, 4).T.tobytes() + np.minimum(counts[a:b], most).astype(np.uint8).tobytes()
+        yield int(shards[a]), zlib.compress(body, 1)
+
+
+def _unpacked_counts(body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer(zlib.decompress(body), np.uint8).reshape(5, -1)
+    return np.cumsum(np.ascontiguousarray(data[:4].T).view("<u4").ravel()), data[4]
+
+
+def _frequent_buckets(rows: DataFrame, depth: int, min_count: int) -> tuple[int, list[tuple[int, str]]]:
+    """How many bits number a bucket, and each shard's file of bits: is the bucket's count ``min_count``?"""
+    spark, most = rows.sparkSession, min(min_count, 127)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(MOST_BITS, max(8, (size // BUCKET_BYTES).bit_length()))
+    folder = new_dir(spark, "buckets")
+    make_dir(f"{folder}/files")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for words in _groups(batches):
+            at, step, found = np.arange(len(words.codes)), words.buckets(bits), []
+            for d in range(1, depth + 1):
+                at = words.longer(at, d)
+                found.append(step(at, d))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*_packed_counts(np.concatenate(found), most)), (pa.int32(), pa.binary()))],
+                names=["shard", "body"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, total = None, None
+
+        def done() -> pa.RecordBatch:
+            path = f"{folder}/files/{attempt_name(f'bits-{shard}')}"
+            with open_write(path) as file:
+                file.write(np.packbits(total >= most, bitorder="little").tobytes())
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([path])], names=["shard", "path"])
 
-
-def leaves(docs: DataFrame, text: str = "text", lang: str = "lang", depth: int = DEPTH) -> DataFrame:
+        for batch in batches:
+            for k, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if k != shard:
+                    if shard is not None:
+                        yield done()
+                    shard, total = k, np.zeros(1 << SHARD_BITS, np.uint8)
+                places, counts = _unpacked_counts(body.as_py())
+                total[places] = np.minimum(total[places] + counts, most)
+        if shard is not None:
+            yield done()
+
+    counted = rows.mapInArrow(count, "shard INT, body BINARY").repartition("shard").sortWithinPartitions("shard")
+    counted.mapInArrow(add, "shard INT, path STRING").write.parquet(f"{folder}/manifest")
+    return bits, [tuple(r) for r in spark.read.parquet(f"{folder}/manifest").collect()]
+
+
+_bits: dict[str, np.ndarray] = {}
+
+
+def _read_bits(bits: int, files: list[tuple[int, str]]) -> np.ndarray:
+    """All shards' bits; those last read by a Python worker are kept."""
+    key = files[0][1]
+    if key not in _bits:
+        _bits.clear()
+        size = 1 << (SHARD_BITS - 3)
+        whole = np.zeros(max(1 << bits >> 3, size), np.uint8)
+        for shard, path in files:
+            with open_read(path) as file:
+                whole[shard * size:(shard + 1) * size] = np.frombuffer(file.read(), np.uint8)
+        _bits[key] = whole
+    return _bits[key]
+
+
+def _leaf_totals(words: _Words, depth: int, bits: int, frequent: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """``lang, leaf, c``: each place's leaf, as long as its phrases' buckets are frequent."""
+    step, base = words.buckets(bits) if frequent is not None else None, len(words.distinct) + 1
+    at = np.arange(len(words.codes))
+    keys, sizes = words.langs.copy(), np.zeros(len(at), np.int64)
+    room = len(words.named)
+    for d in range(1, depth + 1):
+        at = words.longer(at, d)
+        if frequent is not None:
+            b = step(at, d)
+            at = at[(frequent[b >> np.uint32(3)] >> (b & np.uint32(7)).astype(np.uint8)) & 1 == 1]
+        if room * base >= 1 << 62:  # the leaves so far, by number
+            keys = np.unique(keys, return_inverse=True)[1]
+            room = len(keys)
+        room *= base
+        keys *= base
+        keys[at] += words.codes[at + d - 1] + 1
+        sizes[at] = d
+    _, firsts, counts = np.unique(keys, return_index=True, return_counts=True)
+    for d in range(depth + 1):
+        of = firsts[sizes[firsts] == d]
+        if len(of):
+            parts = [words.distinct.take(pa.array(words.codes[of + i])) for i in range(d)]
+            leaf = pc.binary_join_element_wise(*parts, " ") if d else pa.array([""] * len(of))
+            yield pa.RecordBatch.from_arrays(
+                [words.named.take(pa.array(words.langs[of])), leaf, pa.array(counts[sizes[firsts] == d], pa.int64())],
+                names=["lang", "leaf", "c"])
+
+
+def leaves(docs: DataFrame, text: str = "text", lang: str = "lang", depth: int = DEPTH,
+           min_count: int = 1) -> DataFrame:
     """``lang, leaf, c``: each suffix of each piece cut at ``depth`` words, and its total.
 
-    A leaf is its words joined by one blank (words hold none), the smallest row to shuffle.
+    A leaf is its words joined by one blank (words hold none), the smallest row to shuffle. Leaves
+    end before a phrase that occurs fewer than ``min_count`` times; the leaf of no word counts
+    the places where the first word does.
     """
-    lowered = F.translate(F.coalesce(F.col(f"`{text}`"), F.lit("")), _UPPER, _LOWER)
-    pieces = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN)).alias("lang"),
-                         F.explode(F.split(lowered, PIECE)).alias("piece"))
-    ws = F.regexp_extract_all(F.col("piece"), F.lit(WORD), 0)
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(ws)), lambda i: F.array_join(F.slice(ws, i, depth), " "))
-    rows = pieces.select("lang", F.explode(F.when(F.size(ws) > 0, suffixes)).alias("leaf"))
-    return rows.groupBy("lang", "leaf").agg(F.count(F.lit(1)).alias("c"))
+    rows = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
+    bits, files = _frequent_buckets(rows, depth, min_count) if min_count > 1 else (0, [])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = _read_bits(bits, files) if files else None
+        for words in _groups(batches):
+            yield from _leaf_totals(words, depth, bits, frequent)
+
+    found = rows.mapInArrow(run, "lang STRING, leaf STRING, c BIGINT")
+    return found.groupBy("lang", "leaf").agg(F.sum("c").alias("c"))
 
 
 def _prefix(leaf: Column, d: int) -> Column:
@@ -138,10 +313,14 @@ def _node_counts(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def counts(docs: DataFrame, text: str = "text", lang: str = "lang", depth: int = DEPTH,
-           budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
-    """``lang, phrase, n_words, f`` of every phrase of 1 to ``depth`` words, and ``lang, n``."""
+           budget: int = BUDGET, min_count: int = 1) -> tuple[DataFrame, DataFrame]:
+    """``lang, phrase, n_words, f`` of phrases of 1 to ``depth`` words, and ``lang, n``.
+
+    Phrases that occur ``min_count`` times or more are all there; rarer ones may be.
+    """
     spark = docs.sparkSession
-    tips = stored(leaves(docs, text, lang, depth), spark, "leaves")
+    every = stored(leaves(docs, text, lang, depth, min_count), spark, "leaves")
+    tips = every.where(F.col("leaf") != "")
     units = _units(tips, budget, depth)
     groups = _packed(units, budget, spark)
     filed = units.join(groups, ["lang", "unit"]).select(
@@ -151,7 +330,7 @@ def counts(docs: DataFrame, text: str = "text", lang: str = "lang", depth: int =
     nodes = stored(filed.groupBy("lang", "grp").applyInPandas(_node_counts, schema), spark, "nodes")
     whole = nodes.where(~F.col("split")).drop("split")
     joined = nodes.where("split").groupBy("lang", "phrase", "n_words").agg(F.sum("f").alias("f"))
-    totals = tips.groupBy("lang").agg(F.sum("c").alias("n"))
+    totals = every.groupBy("lang").agg(F.sum("c").alias("n"))
     return whole.unionByName(joined), totals
 
 
@@ -166,7 +345,7 @@ def mine(docs: DataFrame, text: str = "text", lang: str = "lang", depth: int = D
          slices: int = SLICES) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score, k`` of the first ``top`` collocations of each language."""
     spark = docs.sparkSession
-    phrases, totals = counts(docs, text, lang, depth, budget)
+    phrases, totals = counts(docs, text, lang, depth, budget, min_count)
     # A part of a phrase occurs at least as often as the phrase: parts of candidates are frequent.
     frequent = stored(phrases.where(F.col("f") >= min_count), spark, "frequent")
     cands = frequent.where(F.col("n_words") >= 2).select(

@@ -42,3 +42,16 @@ def test_odd_rows(spark, odd_docs, no_docs):
     # Every bigram lies in a trigram of (nearly) the same count, so only trigrams stay.
     assert got["x y z"].a == 4000 and got["x y z"].lang == "und" and "x y" not in got
     assert got["x y z"].n == 12000
+
+
+def test_rare_phrases_are_cut_off_before_they_are_stored(spark):
+    """Leaves end before rare phrases; totals, frequent phrases and what is mined stay the same."""
+    rows = [(i, f"of the w{i} w{i} v{i}, ones{i} of the by.by", "en" if i % 3 else None) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    whole = {(r.lang, r.leaf): r.c for r in collocations.leaves(docs).collect()}
+    cut = {(r.lang, r.leaf): r.c for r in collocations.leaves(docs, min_count=10).collect()}
+    assert len(cut) < len(whole) / 10 and sum(cut.values()) == sum(whole.values()) == 10 * 400
+    every = {(r.lang, r.phrase): r.f for r in collocations.counts(docs)[0].collect()}
+    found = {(r.lang, r.phrase): r.f for r in collocations.counts(docs, min_count=10)[0].collect()}
+    often = {k: f for k, f in every.items() if f >= 10}
+    assert {k: f for k, f in found.items() if f >= 10} == often and ("und", "of the by") in often
