@@ -32,10 +32,10 @@ from citeflow.llm.files import attempt_name, make_dir, open_read, open_write
 
 END_ID = 2
 # Parts of words kept between texts by a worker, twice as many at most, about 200 bytes each.
-CACHED_PIECES = 600_000
+CACHED_PIECES = 300_000
 MAX_CACHED_CHARS = 48
 # Text encoded at a time: its words are looked up once each.
-GROUP_BYTES = 1 << 23
+GROUP_BYTES = 1 << 22
 # Tokens read from a map at a time.
 READ_TOKENS = 1 << 20
 
