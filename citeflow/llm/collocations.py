@@ -59,7 +59,8 @@ SHARE = 50
 TOP = 2000
 UNKNOWN = "und"
 
-BUDGET = 1 << 20
+# Leaves of a group: a task holds them as Python strings, about half a kilobyte for each leaf.
+BUDGET = 1 << 17
 SLICES = 64
 
 # Text taken at a time.

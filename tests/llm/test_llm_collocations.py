@@ -1,3 +1,6 @@
+import numpy as np
+import pandas as pd
+
 from citeflow.llm import collocations
 from citeflow.llm.oracles import ORACLES
 from citeflow.llm.queries import QUERIES
@@ -55,3 +58,14 @@ def test_rare_phrases_are_cut_off_before_they_are_stored(spark):
     found = {(r.lang, r.phrase): r.f for r in collocations.counts(docs, min_count=10)[0].collect()}
     often = {k: f for k, f in every.items() if f >= 10}
     assert {k: f for k, f in found.items() if f >= 10} == often and ("und", "of the by") in often
+
+
+def test_a_full_group_is_small_in_memory():
+    n = collocations.BUDGET
+    words = np.array([f"word{i}" for i in range(30_000)], object)
+    a, b, c = (words[np.random.default_rng(k).integers(0, len(words), n)] for k in range(3))
+    group = pd.DataFrame({"lang": "en", "grp": 0, "c": 1, "level": 1, "size": 3, "p1": a, "p2": a + " " + b,
+                          "p3": a + " " + b + " " + c})
+    assert group.memory_usage(deep=True).sum() < 1 << 27
+    nodes = collocations._node_counts(group)
+    assert nodes.groupby("n_words")["f"].sum().tolist() == [n] * 3
