@@ -12,9 +12,12 @@ context's left-over weight times the probability after the shorter context. Both
 multiples of 1/2000 of a negative decimal logarithm in 16 bits.
 
 Texts are coded once, as numbers of their words, and stored; later passes read the numbers.
-Counting, sorting and summing are Spark's; tasks write sorted ranges as shards and map the shards
-of lower levels. A level is never in one task or on the driver; the driver sees a row per shard.
-N-grams of a hot context are spread over shards by their next word.
+The n-grams of a level are cut into ranges of context and next word by the counts of the contexts, so
+that a range holds a bounded number of occurrences; those of a hot context are spread over ranges
+by their next word. A task counts its n-grams a chunk at a time and sends each range a packed block of
+them; Spark brings a range's blocks together, and the range is summed and written as one shard. Then
+each shard gets its left-over weights and probabilities; what a context has in several shards is
+summed from a row per shard, which is all the driver sees. A level is never in one task.
 
 Defined results: a null or empty text is the end token alone; a null id is held out; repeated rows
 are learned from and scored each; an empty table gives an empty one; without any training text
@@ -23,6 +26,7 @@ every token has the base probability of an unknown one.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -47,9 +51,11 @@ DISCOUNT = 0.75
 STEPS = 2000
 END = b""  # no word is empty
 CHUNK_TOKENS = 1 << 18
+CODED_CHUNK = 4  # times as many where tokens are numbers: each chunk looks into every shard
 COUNTER_WORDS = 200_000
 HASH_BITS = 63
-WEIGHT_BITS = 20  # entries to a file of left-over weights
+WEIGHT_BITS = 20  # occurrences to a shard, at most
+LEAST_SHARD = 1 << 14
 SHARD = (
     "level INT, place INT, path STRING, n BIGINT, total BIGINT, first_parent BIGINT, first_word BIGINT, clashes BIGINT"
 )
@@ -71,16 +77,16 @@ class Shard(NamedTuple):
     n: int
     first_parent: int
     first_word: int
+    values: str = ""  # the file of probabilities and of the contexts' left-over weights
 
 
 class Trie:
-    """Mapped levels. ``levels[k]`` lists the shards of level ``k + 1``, ``weights[k]`` the files of
-    left-over weights of its entries by their number."""
+    """Mapped levels: ``levels[k]`` lists the shards of level ``k + 1``."""
 
-    def __init__(self, seed: int, levels: list[list[Shard]], weights: list[dict[int, str]], tokens: int,
-                 hash_bits: int = HASH_BITS, weight_bits: int = WEIGHT_BITS, min_count: int = MIN_COUNT):
-        self.seed, self.levels, self.weights, self.tokens = seed, levels, weights, tokens
-        self.hash_bits, self.weight_bits, self.min_count = hash_bits, weight_bits, min_count
+    def __init__(self, seed: int, levels: list[list[Shard]], tokens: int, hash_bits: int = HASH_BITS,
+                 min_count: int = MIN_COUNT):
+        self.seed, self.levels, self.tokens = seed, levels, tokens
+        self.hash_bits, self.min_count = hash_bits, min_count
         self.words = sum(s.n for s in levels[0])
         self.unit = 1 / (tokens + self.words + 1)  # of a token never seen
         self._open: dict[str, object] = {}
@@ -88,11 +94,11 @@ class Trie:
     def __getstate__(self):
         return {**self.__dict__, "_open": {}}
 
-    def _shard(self, path: str) -> dict:
-        found = self._open.get(path)
+    def _shard(self, shard: Shard) -> dict:
+        found = self._open.get(shard.path)
         if found is None:
-            arrays = read_arrays(path)
-            found = self._open[path] = dict(arrays)
+            arrays = read_arrays(shard.path) | (read_arrays(shard.values) if shard.values else {})
+            found = self._open[shard.path] = dict(arrays)
             for name in ("ids", "pointers"):
                 if f"{name}.size" in arrays:
                     found[name] = EliasFano.of(arrays, name)
@@ -108,7 +114,7 @@ class Trie:
         cuts = np.searchsorted(coded, [s.first_word for s in self.levels[0]]).tolist() + [len(coded)]
         for shard, start, end in zip(self.levels[0], cuts, cuts[1:]):
             if start < end:
-                ef, asked = self._shard(shard.path)["ids"], coded[start:end]
+                ef, asked = self._shard(shard)["ids"], coded[start:end]
                 at = ef.successor(asked)
                 inside = at < ef.n
                 same = np.zeros(len(at), bool)
@@ -129,7 +135,7 @@ class Trie:
         for shard, start, end in zip(self.levels[level - 1], cuts, cuts[1:]):
             if start == end:
                 continue
-            data = self._shard(shard.path)
+            data = self._shard(shard)
             context, times = np.unique(parents[start:end] - shard.first_parent, return_counts=True)
             inside = context < data["pointers"].n - 1  # contexts beyond have no successors here
             first, last, base = (np.zeros(len(context), np.int64) for _ in range(3))
@@ -164,29 +170,48 @@ class Trie:
 
     def _entries(self, level: int, entries: np.ndarray) -> Iterator[tuple]:
         shards = self.levels[level - 1]
-        number = np.searchsorted([s.base for s in shards], entries, side="right") - 1
-        for k in np.unique(number):
-            rows = np.flatnonzero(number == k)
-            yield self._shard(shards[k].path), entries[rows] - shards[k].base, rows
+        for k, rows in _by_shard(entries, [s.base for s in shards]):
+            yield self._shard(shards[k]), entries[rows] - shards[k].base, rows
 
     def values(self, level: int, name: str, entries: np.ndarray) -> np.ndarray:
         """``count`` or ``prob`` of entries."""
         got = np.zeros(len(entries), np.int64)
         for data, at, rows in self._entries(level, entries):
-            got[rows] = data[name][at]
+            got[rows] = _full_counts(data, at) if name == "count" else data[name][at]
         return got
 
     def weight(self, level: int, entries: np.ndarray) -> np.ndarray:
         """Stored logarithms of left-over weights; 0 for contexts without successors."""
-        got, part = np.zeros(len(entries), np.int64), entries >> self.weight_bits
-        for k in np.unique(part):
-            path = self.weights[level - 1].get(int(k))
-            if path is not None:
-                rows = np.flatnonzero(part == k)
-                got[rows] = self._shard(path)["weight"][entries[rows] & (1 << self.weight_bits) - 1]
+        got, shards = np.zeros(len(entries), np.int64), self.levels[level]
+        for k, rows in _by_shard(entries, [s.first_parent for s in shards]):
+            weight, at = self._shard(shards[k])["weight"], entries[rows] - shards[k].first_parent
+            inside = at < len(weight)
+            got[rows[inside]] = weight[at[inside]]
         return got
 
 
+def _by_shard(entries: np.ndarray, firsts: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """Each shard's number, and the rows of its entries; entries before the first are left out."""
+    order = np.argsort(entries)
+    cuts = np.append(np.searchsorted(entries[order], firsts), len(entries))
+    for k in np.flatnonzero(np.diff(cuts)).tolist():
+        yield k, order[cuts[k]:cuts[k + 1]]
+
+
+def _small_counts(c: np.ndarray) -> dict[str, np.ndarray]:
+    """Counts in a byte each, and those of 255 or more by their places."""
+    over = np.flatnonzero(c >= 255)
+    return {"count": np.minimum(c, 255).astype(np.uint8), "over": over, "more": c[over].astype(np.int64)}
+
+
+def _full_counts(data: dict, at: np.ndarray) -> np.ndarray:
+    got = data["count"][at].astype(np.int64)
+    if "over" in data:
+        large = np.flatnonzero(got == 255)
+        got[large] = data["more"][np.searchsorted(data["over"], at[large])]
+    return got
+
+
 def _unique_pairs(parents: np.ndarray, words: np.ndarray) -> tuple:
     width = int(words.max()) + 1
     if int(parents.max()) + 1 < (1 << 62) // width:
@@ -327,70 +352,185 @@ def _write_words(counted: DataFrame, folder: str) -> DataFrame:
     return counted.repartitionByRange("h").sortWithinPartitions("h").mapInArrow(run, SHARD)
 
 
-def _ngram_counts(coded: DataFrame, shared, level: int) -> DataFrame:
-    """From one column of coded texts, ``parent, word, c`` of the n-grams of ``level`` tokens seen at least ``min_count`` times."""
-    kinds, size = "parent BIGINT, word BIGINT, c BIGINT", CHUNK_TOKENS
+def _counted_pairs(parents: np.ndarray, words: np.ndarray, c: np.ndarray | None = None) -> tuple:
+    """Distinct pairs in order, and how often each is there (or the sum of its ``c``)."""
+    width = int(words.max()) + 1
+    if int(parents.max()) + 1 < (1 << 62) // width:
+        keys = parents * width + words
+        if c is None:
+            keys.sort()
+        else:
+            order = np.argsort(keys)
+            keys, c = keys[order], c[order]
+        starts = np.flatnonzero(np.diff(keys, prepend=-1))
+        parents, words = np.divmod(keys[starts], width)
+    else:
+        order = np.lexsort((words, parents))
+        parents, words, c = parents[order], words[order], None if c is None else c[order]
+        starts = np.flatnonzero((np.diff(parents, prepend=-1) != 0) | (np.diff(words, prepend=-1) != 0))
+        keys, parents, words = order, parents[starts], words[starts]
+    return parents, words, np.diff(np.append(starts, len(keys))) if c is None else np.add.reduceat(c, starts)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = shared.value
-        for chunk in _chunks((t for b in batches for t in _coded(b.column(0))), size):
-            tokens = _tokens(chunk)
-            found = _entries(trie, tokens, level - 1)
-            at = _extensible(trie, tokens, found)
-            if len(at):
-                (parents, words), back = _unique_pairs(found[-1][at - 1], tokens.ids[at])
-                yield _batch((parents, words, np.bincount(back.ravel())), kinds)
 
-    counted = coded.mapInArrow(run, kinds).groupBy("parent", "word").agg(F.sum("c").alias("c"))
-    return counted.where(F.col("c") >= shared.value.min_count)
+def _planes(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def _write_weights(counted: DataFrame, shared, level: int, folder: str) -> DataFrame:
-    """Left-over weights of the contexts at ``level`` of counted n-grams."""
-    masses = counted.groupBy("parent").agg((F.sum("c") - DISCOUNT * F.count("c")).alias("mass"))
-    dealt = masses.withColumn("part", F.shiftright("parent", shared.value.weight_bits)).repartition("part").sortWithinPartitions("part")
+def _packed(parents: np.ndarray, words: np.ndarray, c: np.ndarray, first: int) -> bytes:
+    """A range's n-grams: distances of the contexts, next words and counts, in planes of bytes."""
+    gaps = np.diff(parents, prepend=first)
+    return zlib.compress(b"".join(map(_planes, (gaps, words, c))), 1)
+
+
+def _unpacked(body: bytes, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zlib.decompress(body), np.uint8).reshape(3, 4, -1)
+    gaps, words, c = (np.ascontiguousarray(p.T).view("<u4").ravel().astype(np.int64) for p in planes)
+    return first + np.cumsum(gaps), words, c
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parents, mass, part = _gathered(batches, 3)
-        entries = 1 << shared.value.weight_bits
-        for k in np.unique(part):
-            own = parents[part == k].astype(np.int64)
-            left = 1 - mass[part == k] / shared.value.values(level, "count", own)
-            weight = np.zeros(entries, np.uint16)
-            weight[own & entries - 1] = quantised(left)
-            path = f"{folder}/{attempt_name(f'weight{level}')}"
-            write_arrays(path, {"weight": weight})
-            yield _batch(([int(k)], [path]), "part BIGINT, path STRING")
 
-    return dealt.mapInArrow(run, "part BIGINT, path STRING")
+def _tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _write_level(counted: DataFrame, shared, level: int, folder: str) -> DataFrame:
-    order = ("parent", "word")
+def _listed(spark: SparkSession, shards: list[Shard], more: list[tuple] = (), kinds: str = "") -> DataFrame:
+    """A row for each shard, dealt over the tasks: its place in the list, and more of it."""
+    rows = [(k, *(more[k] if more else ())) for k in range(len(shards))]
+    # With a number, so that adaptive execution does not make one task of a few small rows.
+    return spark.createDataFrame(rows, "place INT" + kinds).repartition(_tasks(spark), "place")
+
+
+def _ranges(spark: SparkSession, shared, level: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts and words with which ranges of n-grams of ``level`` begin.
+
+    Contexts of ``size`` occurrences together make a range; one of more has several, by next word.
+    """
+    shards, width = shared.value.levels[level - 2], shared.value.words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parent, word, c = _gathered(batches, 3)
+        trie = shared.value
+        for place in (k for b in batches for k in b.column(0).to_pylist()):
+            shard = trie.levels[level - 2][place]
+            c = trie.values(level - 1, "count", shard.base + np.arange(shard.n))
+            hot = c > size
+            new = np.diff((np.cumsum(c) - c) // size, prepend=-1) != 0
+            begin = np.flatnonzero(new | hot | np.append(False, hot[:-1]))
+            pieces = np.where(hot[begin], -(-c[begin] // size), 1)
+            number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            words = number * width // np.repeat(pieces, pieces)
+            yield _batch((np.repeat(shard.base + begin, pieces), words), "parent BIGINT, word BIGINT")
+
+    rows = _listed(spark, shards).mapInArrow(run, "parent BIGINT, word BIGINT").collect()
+    found = np.array(sorted(set(map(tuple, rows))), np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
+
+
+def _places(parents: np.ndarray, words: np.ndarray, ranges: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Where each range begins among sorted pairs."""
+    at = np.searchsorted(parents, ranges[0])
+    for k in np.flatnonzero(ranges[1]):
+        at[k] = _lower(parents, words, ranges[0][k], ranges[1][k])
+    return at
+
+
+COUNTED = "place INT, path STRING, n BIGINT, first_parent BIGINT, first_word BIGINT, last_parent BIGINT, first_mass DOUBLE, last_mass DOUBLE"
+
+
+def _count_level(coded: DataFrame, shared, level: int, ranges, folder: str) -> DataFrame:
+    """From one column of coded texts, a row and a file for each range of n-grams of ``level`` tokens.
+
+    Kept are those seen at least ``min_count`` times.
+    """
+    size = CHUNK_TOKENS * CODED_CHUNK
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, (firsts, _) = shared.value, ranges.value
+        for chunk in _chunks((t for b in batches for t in _coded(b.column(0))), size):
+            tokens = _tokens(chunk)
+            found = _entries(trie, tokens, level - 1)
+            at = _extensible(trie, tokens, found)
+            if not len(at):
+                continue
+            grams = _counted_pairs(found[-1][at - 1], tokens.ids[at])
+            cuts = np.append(_places(*grams[:2], ranges.value), len(grams[0]))
+            own = np.flatnonzero(np.diff(cuts))
+            bodies = [_packed(*(v[cuts[k]:cuts[k + 1]] for v in grams), firsts[k]) for k in own]
+            yield _batch((own, bodies), "place INT, body BINARY")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, (firsts, _) = shared.value, ranges.value
+        place, held = None, []
+        for batch in batches:
+            for k, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if k != place and held:
+                    yield from write(trie, place, held, firsts)
+                    held = []
+                place = k
+                held.append(body.as_py())
+        if held:
+            yield from write(trie, place, held, firsts)
+
+    def write(trie: Trie, place: int, bodies: list[bytes], firsts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        blocks = [_unpacked(b, firsts[place]) for b in bodies]
+        parent, word, c = _counted_pairs(*(np.concatenate(v) for v in zip(*blocks)))
+        often = c >= trie.min_count
+        parent, word, c = parent[often], word[often], c[often]
         if not len(parent):
             return
-        trie = shared.value
         starts = np.searchsorted(parent, np.arange(parent[0], parent[-1] + 2))
         # Successors plus one, on top of the last value of the range before.
         begins = starts[:-1][np.diff(starts) > 0]
         top = np.cumsum(word[np.append(begins[1:], len(word)) - 1] + 1)
         ids = word + 1 + np.repeat(np.concatenate(([0], top[:-1])), np.diff(np.append(begins, len(word))))
-        left = 10 ** (-trie.weight(level - 1, parent) / STEPS)
-        lower = 10 ** (-_lower_log(trie, level, parent, word) / STEPS)
-        prob = (c - DISCOUNT) / trie.values(level - 1, "count", parent) + left * lower
         path = f"{folder}/{attempt_name(f'level{level}')}"
-        write_arrays(path, {
-            **EliasFano.encode(starts).arrays("pointers"), **EliasFano.encode(ids).arrays("ids"),
-            "prob": quantised(np.minimum(prob, 1.0)), "count": c.astype(np.uint32 if c.max() < 1 << 32 else np.uint64),
-        })
-        row = (level, int(path.rsplit("-", 2)[1]), path, len(parent), int(c.sum()), int(parent[0]), int(word[0]), 0)
-        yield _batch([[v] for v in row], SHARD)
+        write_arrays(path, {**EliasFano.encode(starts).arrays("pointers"), **EliasFano.encode(ids).arrays("ids"),
+                            **_small_counts(c)})
+        mass = np.add.reduceat(c - DISCOUNT, begins)
+        row = (place, path, len(parent), int(parent[0]), int(word[0]), int(parent[-1]), float(mass[0]), float(mass[-1]))
+        yield _batch([[v] for v in row], COUNTED)
+
+    blocks = coded.mapInArrow(count, "place INT, body BINARY").repartition(_tasks(coded.sparkSession), "place").sortWithinPartitions("place")
+    return blocks.mapInArrow(add, COUNTED)
+
 
-    ranged = counted.select("parent", "word", "c").repartitionByRange(*order).sortWithinPartitions(*order)
-    return ranged.mapInArrow(run, SHARD)
+def _edge_masses(rows: list) -> list[tuple[float, float]]:
+    """For each shard, in order, the masses of its first and last context over all shards."""
+    masses: Counter = Counter()
+    for r in rows:
+        masses[r.first_parent] += r.first_mass
+        if r.last_parent != r.first_parent:
+            masses[r.last_parent] += r.last_mass
+    return [(masses[r.first_parent], masses[r.last_parent]) for r in rows]
+
+
+def _write_values(spark: SparkSession, shared, level: int, masses: list[tuple[float, float]], folder: str) -> DataFrame:
+    """For each shard of ``level``, a file of its contexts' left-over weights and its probabilities."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = shared.value
+        for place, first_mass, last_mass in (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))):
+            shard = trie.levels[level - 1][place]
+            data = trie._shard(shard)
+            starts = data["pointers"].access(np.arange(data["pointers"].n)).astype(np.int64)
+            sizes, c = np.diff(starts), _full_counts(data, np.arange(shard.n))
+            contexts = np.flatnonzero(sizes)
+            mass = np.add.reduceat(c - DISCOUNT, starts[contexts])
+            mass[0], mass[-1] = first_mass, last_mass
+            seen = trie.values(level - 1, "count", shard.first_parent + contexts)
+            logs, weight = quantised(1 - mass / seen), np.zeros(len(sizes), np.uint16)
+            weight[contexts] = logs
+            left, seen = (np.repeat(v, sizes[contexts]) for v in (10 ** (-logs.astype(np.int64) / STEPS), seen))
+            # Stored successors carry the last value of the range before, and one.
+            ids = data["ids"].access(np.arange(shard.n)).astype(np.int64)
+            before = np.concatenate(([0], ids[starts[contexts[1:]] - 1]))
+            word = ids - 1 - np.repeat(before, sizes[contexts])
+            parent = np.repeat(shard.first_parent + contexts, sizes[contexts])
+            lower = 10 ** (-_lower_log(trie, level, parent, word) / STEPS)
+            prob = (c - DISCOUNT) / seen + left * lower
+            path = f"{folder}/{attempt_name(f'values{level}')}"
+            write_arrays(path, {"prob": quantised(np.minimum(prob, 1.0)), "weight": weight})
+            yield _batch(([place], [path]), "place INT, path STRING")
+
+    listed = _listed(spark, shared.value.levels[level - 1], masses, ", first DOUBLE, last DOUBLE")
+    return listed.mapInArrow(run, "place INT, path STRING")
 
 
 def _first_log(trie: Trie, ids: np.ndarray) -> np.ndarray:
@@ -406,9 +546,9 @@ def _lower_log(trie: Trie, level: int, parent: np.ndarray, word: np.ndarray) ->
     return trie.values(2, "prob", trie.find(2, last, word))
 
 
-def _shards(table: DataFrame) -> list[Shard]:
+def _shards(rows: list) -> list[Shard]:
     shards, base = [], 0
-    for row in table.orderBy("place").collect():
+    for row in rows:
         shards.append(Shard(row.path, base, row.n, row.first_parent, row.first_word))
         base += row.n
     return shards
@@ -418,7 +558,8 @@ def build(rows: DataFrame, order: int = ORDER, hash_bits: int = HASH_BITS,
           weight_bits: int = WEIGHT_BITS, min_count: int = MIN_COUNT) -> tuple[Trie, DataFrame]:
     """The model of the rows that are ``learned``, from their binary ``body``, and all rows coded.
 
-    The model's files and the coded rows (``ids`` in place of ``body``) are in the shared folder.
+    The model's files and the coded rows (``ids`` in place of ``body``) are in the shared folder. A
+    shard holds at most 2^weight_bits occurrences of n-grams, save of one n-gram.
     """
     if order not in (1, 2, 3):
         raise ValueError("order must be 1, 2 or 3")
@@ -431,18 +572,23 @@ def build(rows: DataFrame, order: int = ORDER, hash_bits: int = HASH_BITS,
         counted = stored(_word_counts(texts, seed, hash_bits), spark, "words")
         table = stored(_write_words(counted, folder), spark, "lmshards")
         tokens, clashes = table.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("clashes"), F.lit(0))).first()
-    trie = Trie(seed, [_shards(table)], [], tokens, hash_bits, weight_bits, min_count)
+    trie = Trie(seed, [_shards(table.orderBy("place").collect())], tokens, hash_bits, min_count)
     if trie.words >= 1 << 31:
         raise ValueError("words are numbered with 31 bits")
     coded = stored(_encode(rows, _shared(spark, trie)), spark, "coded")
     learned = coded.where("learned").select("ids")
+    size = min(1 << weight_bits, max(LEAST_SHARD, tokens // (2 * _tasks(spark))))
     for level in range(2, order + 1):
-        counted = stored(_ngram_counts(learned, _shared(spark, trie), level), spark, "ngrams")
-        files = stored(_write_weights(counted, _shared(spark, trie), level - 1, folder), spark, "lmweights")
-        weights = [*trie.weights, {r.part: r.path for r in files.collect()}]
-        trie = Trie(seed, trie.levels, weights, tokens, hash_bits, weight_bits, min_count)
-        table = stored(_write_level(counted, _shared(spark, trie), level, folder), spark, "lmshards")
-        trie = Trie(seed, [*trie.levels, _shards(table)], weights, tokens, hash_bits, weight_bits, min_count)
+        shared = _shared(spark, trie)
+        ranges = spark.sparkContext.broadcast(_ranges(spark, shared, level, size))
+        table = stored(_count_level(learned, shared, level, ranges, folder), spark, "lmshards")
+        counted = table.orderBy("place").collect()
+        shards = _shards(counted)
+        trie = Trie(seed, [*trie.levels, shards], tokens, hash_bits, min_count)
+        files = stored(_write_values(spark, _shared(spark, trie), level, _edge_masses(counted), folder), spark, "lmvalues")
+        named = {r.place: r.path for r in files.collect()}
+        shards = [s._replace(values=named[k]) for k, s in enumerate(shards)]
+        trie = Trie(seed, [*trie.levels[:-1], shards], tokens, hash_bits, min_count)
     return trie, coded
 
 
@@ -480,7 +626,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: in
     shared = _shared(docs.sparkSession, trie)
     rows = coded.select("doc_id", "ids")
     kinds = "n_tokens BIGINT, n_known BIGINT, train_tokens BIGINT, base_score DOUBLE, score DOUBLE"
-    size = CHUNK_TOKENS
+    size = CHUNK_TOKENS * CODED_CHUNK
     schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), *T.StructType.fromDDL(kinds)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -137,3 +137,21 @@ def test_query_keeps_ngrams_seen_once(spark, tables, monkeypatch):
     monkeypatch.setitem(globals(), "Brute", Whole)
     rows = [(r.doc_id, r.text) for r in tables("documents").collect()]
     compare(QUERIES["op10_ngram_scores"](spark, "/root/testdata/sf0.001").collect(), rows)
+
+
+def test_shards_are_bounded_and_hot_contexts_span_some(spark):
+    rows = [(i, f"the a{i} the b{i % 50} the c{i}" + " the the" * (i % 3)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    compare(lm.score(docs, weight_bits=7, min_count=1).collect(), rows)
+    texts = docs.selectExpr("true AS learned", "CAST(text AS BINARY) AS body")
+    trie, _ = lm.build(texts, min_count=1, weight_bits=7)
+    assert all(s.n <= 2 << 7 for level in trie.levels[1:] for s in level)
+    the = trie.word_ids([b"the"])[0]
+    assert sum(s.first_parent == the for s in trie.levels[1]) > 2
+
+
+def test_packed_blocks_take_few_bytes():
+    rng = np.random.default_rng(5)
+    grams = lm._counted_pairs(rng.integers(7, 40_000, 100_000), rng.integers(0, 2**17, 100_000))
+    body = lm._packed(*grams, 5)
+    assert all((a == b).all() for a, b in zip(lm._unpacked(body, 5), grams)) and len(body) < 4 * len(grams[0])
