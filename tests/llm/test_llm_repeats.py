@@ -62,3 +62,39 @@ def test_anchors_fall_in_every_window():
     at, _ = repeats.anchors(data)
     for s in range(0, len(data) - 200 + 1):
         assert np.any((at >= s) & (at <= s + 200 - repeats.K))
+
+
+def test_edges_of_repeats_in_long_and_periodic_texts(spark):
+    rng = random.Random(7)
+    noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    shared = noise(3000)
+    edited = "".join("#" if i % 450 == 0 else c for i, c in enumerate(shared))
+    rows = [
+        (1, noise(64_000) + shared + noise(300)),  # across the place where a long text is cut
+        (2, noise(70) + edited + noise(10)),
+        (3, shared[700:950] + noise(400) + shared[100:299] + "!"),
+        (4, noise(30) + shared[500:1100] + noise(5) + edited[800:2100]),
+        *((10 + i, noise(i) + shared[1500 - i:1710 + 3 * i] + noise(9)) for i in range(30)),  # one anchor, many contexts
+        (50, "ab" * 40_000), (51, noise(100) + "ab" * 120 + noise(100)), (52, "-" * 700 + noise(250) + "-" * 201),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in repeats.dedup(docs).drop("kept").collect()), key=repr)
+    assert got == brute(rows)
+
+
+def test_rows_kept_follow_pieces_not_bytes(spark, monkeypatch):
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    shared = noise(30_000)
+    rows = [(i, noise(500) + shared[100 * i:] + noise(500)) for i in range(12)]
+    kept, write = [], repeats.stored
+
+    def stored(frame, *args):
+        out = write(frame, *args)
+        kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(repeats, "stored", stored)
+    got = repeats.dedup(spark.createDataFrame(rows, "doc_id long, text string")).drop("kept").collect()
+    assert sum(r.n_removed for r in got) > 300_000
+    assert sum(kept) < sum(len(t) for _, t in rows) // 20
